@@ -1,0 +1,170 @@
+"""Keyed tables that grow batch by batch.
+
+Each micro-batch writes one Parquet folder named after its id, and only that;
+what a keyed table holds is the folders merged by the table's rule. A batch that
+runs again overwrites its own folder, which makes every rule safe to replay. The
+cost of writing a batch is the size of the batch, not of the table. From time to
+time ``compact`` merges what is there into one folder, so reading stays cheap.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+BATCH = "batch_id"
+FOLDER = "folder"
+
+
+def merge_increment(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Sum of all changes per key."""
+    return rows.groupBy(*keys).agg(
+        *[F.sum(v).alias(v) for v in values], F.max(BATCH).alias(BATCH)
+    )
+
+
+def merge_replace(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The values a key got in its latest batch."""
+    return rows.groupBy(*keys).agg(
+        *[F.max_by(v, BATCH).alias(v) for v in values], F.max(BATCH).alias(BATCH)
+    )
+
+
+def merge_replace_group(rows: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """All rows a group got in its latest batch."""
+    latest = rows.groupBy(*group).agg(F.max(BATCH).alias(BATCH))
+    return rows.join(latest, [*group, BATCH], "left_semi").select(*group, *values, BATCH)
+
+
+def merge_new_keys(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Each key once, with the batch that brought it."""
+    return rows.groupBy(*keys).agg(F.min(BATCH).alias(BATCH))
+
+
+RULES = {
+    "increment": merge_increment,
+    "replace": merge_replace,
+    "replace_group": merge_replace_group,
+    "new_keys": merge_new_keys,
+}
+
+
+@dataclass(frozen=True)
+class BatchLog:
+    """One keyed table: its folder, columns, rule, the rule's keys and, where
+    old rows are rarely touched again, the key column its folders are split by."""
+
+    path: str
+    schema: StructType
+    rule: str
+    keys: list[str]
+    split_by: str | None = None
+
+    @property
+    def values(self) -> list[str]:
+        return [name for name in self.schema.names if name not in self.keys]
+
+    @property
+    def _stored_schema(self) -> StructType:
+        own = [StructField(BATCH, LongType(), True), StructField(FOLDER, StringType(), True)]
+        return StructType([*self.schema.fields, *own])
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.path.rstrip('/')}/{FOLDER}={kind}-{batch_id:012d}"
+
+    def _store(self, rows: DataFrame, kind: str, batch_id: int) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if self.split_by:
+            writer = writer.partitionBy(self.split_by)
+        writer.parquet(self._folder(kind, batch_id))
+
+    def write(self, batch_id: int, rows: DataFrame) -> None:
+        """Store one batch's changes, replacing an earlier try of the same batch."""
+        numbered = rows.select(*self.schema.names, F.lit(batch_id).cast("bigint").alias(BATCH))
+        self._store(numbered, "batch", batch_id)
+
+    def _files(self, spark: SparkSession):
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        return hadoop, root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _complete(self, spark: SparkSession) -> dict[str, list[int]]:
+        """Ids of the finished folders, by kind. The listing is on the driver and
+        holds one name per batch since folders were last removed."""
+        hadoop, root, fs = self._files(spark)
+        found: dict[str, list[int]] = {"batch": [], "merged": []}
+        if not fs.exists(root):
+            return found
+        for status in fs.listStatus(root):
+            kind, _, number = status.getPath().getName().removeprefix(f"{FOLDER}=").partition("-")
+            if kind in found and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+                found[kind].append(int(number))
+        return found
+
+    def _stored(self, spark: SparkSession, before: int | None) -> DataFrame:
+        found = self._complete(spark)
+        known = [m for m in found["merged"] if before is None or m < before]
+        base = max(known, default=-1)
+        paths = [self._folder("merged", base)] if known else []
+        paths += [
+            self._folder("batch", b)
+            for b in sorted(found["batch"])
+            if b > base and (before is None or b < before)
+        ]
+        if not paths:
+            return spark.createDataFrame([], self._stored_schema)
+        reader = spark.read.schema(self._stored_schema).option("basePath", self.path)
+        return reader.parquet(*paths)
+
+    def _merge(self, stored: DataFrame) -> DataFrame:
+        merged = RULES[self.rule](stored, self.keys, self.values)
+        return merged.select(*self.schema.names, BATCH)
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The table's rows; with ``before``, as they were ahead of that batch."""
+        return self._merge(self._stored(spark, before)).drop(BATCH)
+
+    def read_touching(
+        self, spark: SparkSession, rows: DataFrame, on: list[str], before: int | None = None
+    ) -> DataFrame:
+        """The table's rows whose ``on`` values occur in ``rows``.
+
+        The stored folders are cut down first and merged afterwards, so only the
+        touched part of the table is read and aggregated. ``on`` must be part of
+        the keys, or the rows of one key could be torn apart.
+        """
+        if not set(on) <= set(self.keys):
+            raise ValueError("rows can only be looked up by key columns")
+        stored = self._stored(spark, before)
+        if self.split_by in on and self.split_by == "date":
+            # One row per calendar day: small enough to send to every executor,
+            # where it prunes the folders to read.
+            stored = stored.join(
+                F.broadcast(rows.select(self.split_by).distinct()), self.split_by, "left_semi"
+            )
+        touched = rows.select(*on).distinct()
+        return self._merge(stored.join(touched, on, "left_semi")).drop(BATCH)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Merge all batches up to and including ``upto`` into one folder.
+
+        Call it only for batches that are certain not to run again; batch n
+        being under way says that of n - 1.
+        """
+        if upto not in self._complete(spark)["merged"]:
+            self._store(self._merge(self._stored(spark, upto + 1)), "merged", upto)
+
+    def remove_compacted(self, spark: SparkSession) -> None:
+        """Delete this table's folders that its newest merged one replaces."""
+        found = self._complete(spark)
+        if not found["merged"]:
+            return
+        base = max(found["merged"])
+        hadoop, _, fs = self._files(spark)
+        for kind, ids in found.items():
+            for number in ids:
+                if number < base or (kind == "batch" and number == base):
+                    fs.delete(hadoop.Path(self._folder(kind, number)), True)
