@@ -7,9 +7,26 @@ from pyspark.sql import functions as F
 
 N_CITIES = 25
 
+# Stored columns of the test tables in use; given, so that no job infers them.
+STORED = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+        "value double, props string"
+    ),
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(STORED[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def user_visit_action(
@@ -23,99 +40,85 @@ def user_visit_action(
     """
     events = _table(spark, sf_dir, "events")
     if start is not None:
-        events = events.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        events = events.where(f"ts >= timestamp_ntz'{start}'")
     if end is not None:
-        after = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
-        events = events.where(F.col("ts") < after)
-    n_products = _table(spark, sf_dir, "part").count()  # from the file footers
-    ts = F.col("ts").cast("timestamp")
-    day = F.to_date(ts)
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    second_of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))
-    product = F.col("event_id") % n_products
-    pair = F.concat_ws(",", k, (k + 7) % 100)
-
-    def only(event_type: str, value):
-        return F.when(F.col("event_type") == event_type, value)
-
-    return events.select(
-        day.alias("date"),
+        events = events.where(f"ts < timestamp_ntz'{end}' + interval 1 day")
+    # A scalar subquery, run only by queries that look at products.
+    n_products = _table(spark, sf_dir, "part").select(F.expr("count(1)")).scalar()
+    base = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "to_date(ts) AS date",
+        "hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS second_of_day",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+    ).withColumn("product", F.col("event_id") % n_products)
+    return base.selectExpr(
+        "date",
         "user_id",
-        F.concat_ws("_", "user_id", day).alias("session_id"),
-        (k % 10).alias("page_id"),
-        (
-            F.date_trunc("day", ts)
-            + F.make_dt_interval(
-                hours=(F.col("user_id") % 24).cast("int"),
-                secs=F.call_function("div", second_of_day, F.lit(40)).cast("decimal(18,6)"),
-            )
-        ).alias("action_time"),
-        only("view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-        only("click", k).alias("click_category_id"),
-        only("click", product).alias("click_product_id"),
-        only("purchase", pair).alias("order_category_ids"),
-        only("purchase", product.cast("string")).alias("order_product_ids"),
-        only("signup", pair).alias("pay_category_ids"),
-        only("signup", product.cast("string")).alias("pay_product_ids"),
-        (F.col("user_id") % N_CITIES).alias("city_id"),
-        F.col("event_id").alias("action_id"),
+        "concat(user_id, '_', date) AS session_id",
+        "k % 10 AS page_id",
+        "cast(date AS timestamp) + make_dt_interval(0, cast(user_id % 24 AS int), 0, "
+        "second_of_day div 40) AS action_time",
+        "if(event_type = 'view', concat('kw', k % 10), null) AS search_keyword",
+        "if(event_type = 'click', k, null) AS click_category_id",
+        "if(event_type = 'click', product, null) AS click_product_id",
+        "if(event_type = 'purchase', concat(k, ',', (k + 7) % 100), null) AS order_category_ids",
+        "if(event_type = 'purchase', cast(product AS string), null) AS order_product_ids",
+        "if(event_type = 'signup', concat(k, ',', (k + 7) % 100), null) AS pay_category_ids",
+        "if(event_type = 'signup', cast(product AS string), null) AS pay_product_ids",
+        f"user_id % {N_CITIES} AS city_id",
+        "event_id AS action_id",
     )
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
     customer = _table(spark, sf_dir, "customer")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (18 + F.col("c_custkey") % 50).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.when(F.col("c_custkey") % 2 == 0, "male").otherwise("female").alias("sex"),
+    return customer.join(nation, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "cast(18 + c_custkey % 50 AS int) AS age",
+        "c_mktsegment AS professional",
+        "n_name AS city",
+        "if(c_custkey % 2 = 0, 'male', 'female') AS sex",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.concat(
-        F.lit('{"product_status": '), (F.col("p_size") % 2).cast("string"), F.lit("}")
-    )
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        status.alias("extend_info"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """concat('{"product_status": ', p_size % 2, '}') AS extend_info""",
     )
 
 
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "cast(n_nationkey AS bigint) AS city_id", "n_name AS city_name", "r_name AS area"
     )
 
 
 def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks and views of ``events`` as ad clicks in their user's city."""
-    ts = F.col("ts").cast("timestamp")
     clicks = (
         _table(spark, sf_dir, "events")
-        .where(F.col("event_type").isin("click", "view"))
-        .select(
-            ts.alias("ts"),
-            F.to_date(ts).alias("date"),
-            (F.col("user_id") % N_CITIES).alias("city_id"),
+        .where("event_type IN ('click', 'view')")
+        .selectExpr(
+            "cast(ts AS timestamp) AS ts",
+            f"user_id % {N_CITIES} AS city_id",
             "user_id",
-            (F.get_json_object("props", "$.k").cast("bigint") % 10).alias("ad_id"),
+            "cast(get_json_object(props, '$.k') AS bigint) % 10 AS ad_id",
         )
     )
-    return clicks.join(city_info(spark, sf_dir), "city_id").select(
+    return clicks.join(city_info(spark, sf_dir), "city_id").selectExpr(
         "ts",
-        "date",
-        F.translate("area", " ", "_").alias("province"),
-        F.col("city_name").alias("city"),
+        "to_date(ts) AS date",
+        "translate(area, ' ', '_') AS province",
+        "city_name AS city",
         "user_id",
         "ad_id",
     )

@@ -30,7 +30,17 @@ def _ordinary_pairs(views: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def _huge_session_pairs(views: DataFrame, order: list[str]) -> DataFrame:
+def in_ranges(views: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """Distinct views with their ``copies``, cut into ranges of the whole order."""
+    whole = ["session_id", *order]
+    folded = views.groupBy(*whole).agg(F.count(F.lit(1)).alias("copies"))
+    ranged = (
+        folded.repartitionByRange(ranges, *whole) if ranges else folded.repartitionByRange(*whole)
+    )
+    return ranged.withColumn("cut", F.spark_partition_id())
+
+
+def _huge_session_pairs(views: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
     """Consecutive pages of sessions too big for one task.
 
     Equal views are folded into one row with a count; a run of c equal views is
@@ -39,10 +49,7 @@ def _huge_session_pairs(views: DataFrame, order: list[str]) -> DataFrame:
     are counted there; only the first and last row of each range go on, and the
     first of a range follows the last of the session's range before it.
     """
-    folded = views.groupBy("session_id", *order).agg(F.count(F.lit(1)).alias("copies"))
-    ranged = folded.repartitionByRange("session_id", *order).withColumn(
-        "cut", F.spark_partition_id()
-    )
+    ranged = in_ranges(views, order, ranges)
     inside = Window.partitionBy("session_id", "cut").orderBy(*order)
     stepped = ranged.withColumns(
         {
@@ -113,13 +120,15 @@ def page_pair_counts(
     sequence: list[str] = (),
     hot_rows: int = HOT_ROWS,
     fraction: float = 0.01,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Views of each target split: page B right after page A in one session.
 
     Actions go by time, then by the ``sequence`` columns (an event number, where
     the table has one), then by page. A small sample of the session column shows
     which sessions are huge; they are counted by range, all others by a window
-    per session. The sample only chooses the way, the counts are exact.
+    per session. The sample only chooses the way, the counts are exact. ``ranges``
+    is the number of ranges, by default the session's shuffle partitions.
     """
     order = ["action_time", *sequence, "page_id"]
     views = actions.select("session_id", *order)
@@ -128,7 +137,7 @@ def page_pair_counts(
         hot_keys(actions, "session_id", MAX_HOT_KEYS, fraction, min_rows=hot_rows).select("session_id")
     )
     pairs = _ordinary_pairs(views.join(huge, "session_id", "left_anti"), order).unionByName(
-        _huge_session_pairs(views.join(huge, "session_id", "left_semi"), order)
+        _huge_session_pairs(views.join(huge, "session_id", "left_semi"), order, ranges)
     )
     return (
         pairs.select(_split_name(F.col("previous"), F.col("page_id")).alias("page_split"), "pv")

@@ -19,6 +19,13 @@ RECOMMENDED = {
     ),
 }
 
+# Settings that only a session builder can give.
+RECOMMENDED_AT_START = {
+    # Tracing the caller of every column expression is a debugging aid that
+    # makes building a plan several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def apply_recommended(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():

@@ -76,6 +76,10 @@ class BatchLog:
         return f"{self.path.rstrip('/')}/{FOLDER}={kind}-{batch_id:012d}"
 
     def _store(self, rows: DataFrame, kind: str, batch_id: int) -> None:
+        if self.split_by and rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            # Few files per day, while a day with very many rows is still
+            # written by many tasks.
+            rows = rows.hint("rebalance", F.col(self.split_by))
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.split_by:
             writer = writer.partitionBy(self.split_by)
