@@ -384,7 +384,7 @@ SELECT strftime(date, {_DAY}) AS date, province, ad_id, click_count FROM prov"""
         "ad_click_trend_trailing": _BASE + _ADS + f"""
 SELECT {_TREND_COLUMNS} FROM (
   SELECT date_trunc('minute', ts) AS slot, ad_id, count(*) AS click_count FROM clicks
-  WHERE ts BETWEEN TIMESTAMP '2024-01-15 11:00:00' AND TIMESTAMP '2024-01-15 12:00:30'
+  WHERE ts BETWEEN TIMESTAMP '2024-01-14 12:00:00' AND TIMESTAMP '2024-01-15 12:00:30'
   GROUP BY 1, 2
 )""",
         "ad_click_sliding": sliding,

@@ -401,7 +401,8 @@ def _blacklist(spark, sf_dir):
 def ad_filter_blacklisted(spark, sf_dir):
     clicks = V.ad_clicks(spark, sf_dir)
     busy = skew.hot_keys(clicks, "user_id", skew.MAX_HOT_KEYS, 0.01, min_rows=skew.HOT_ROWS)
-    return ads.without_blacklisted(clicks, _blacklist(spark, sf_dir), busy)
+    hot = skew.pinned(busy, "user_id")
+    return ads.without_blacklisted(clicks, _blacklist(spark, sf_dir), hot)
 
 
 @query("ad_user_daily_clicks")
@@ -441,7 +442,7 @@ def ad_click_trend(spark, sf_dir):
 
 @query("ad_click_trend_trailing")
 def ad_click_trend_trailing(spark, sf_dir):
-    return ads.click_trend(V.ad_clicks(spark, sf_dir), as_of=TREND_END)
+    return ads.click_trend(V.ad_clicks(spark, sf_dir), as_of=TREND_END, minutes=24 * 60)
 
 
 @query("ad_click_sliding")
@@ -476,7 +477,7 @@ def salted_join(spark, sf_dir):
 @query("salted_join_hot")
 def salted_join_hot(spark, sf_dir):
     actions = V.user_visit_action(spark, sf_dir).select("action_id", "user_id", "page_id")
-    hot = skew.hot_keys(actions, "user_id", n=20)
+    hot = skew.pinned(skew.hot_keys(actions, "user_id", n=20), "user_id")
     return skew.salted_join(actions, _who(spark, sf_dir), "user_id", "left", 10, hot)
 
 

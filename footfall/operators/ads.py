@@ -13,17 +13,16 @@ TREND_MINUTES = 60
 
 
 def without_blacklisted(
-    clicks: DataFrame, blacklist: DataFrame, hot: DataFrame | None = None, salts: int = SALTS
+    clicks: DataFrame, blacklist: DataFrame, hot: list | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Clicks of users that are not on the blacklist.
 
-    ``hot`` names users with very many clicks; their clicks are spread over
+    ``hot`` lists users with very many clicks; their clicks are spread over
     ``salts`` tasks. Counts per user need none: they are one row per key.
     """
     users = blacklist.select("user_id").distinct()
-    if hot is None:
-        return clicks.join(users, "user_id", "left_anti").select(*clicks.columns)
-    return salted_join(clicks, users, "user_id", "left_anti", salts, hot).select(*clicks.columns)
+    kept = salted_join(clicks, users, "user_id", "left_anti", salts, hot or [])
+    return kept.select(*clicks.columns)
 
 
 def user_daily_clicks(clicks: DataFrame) -> DataFrame:

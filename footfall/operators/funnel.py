@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
-from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, hot_keys
+from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, hot_keys, is_one_of, pinned
 
 START = "start"
 
@@ -132,13 +132,15 @@ def page_pair_counts(
     """
     order = ["action_time", *sequence, "page_id"]
     views = actions.select("session_id", *order)
-    # Bounded by the limit inside hot_keys.
-    huge = F.broadcast(
-        hot_keys(actions, "session_id", MAX_HOT_KEYS, fraction, min_rows=hot_rows).select("session_id")
-    )
-    pairs = _ordinary_pairs(views.join(huge, "session_id", "left_anti"), order).unionByName(
-        _huge_session_pairs(views.join(huge, "session_id", "left_semi"), order, ranges)
-    )
+    sampled = hot_keys(views, "session_id", MAX_HOT_KEYS, fraction, min_rows=hot_rows)
+    huge = pinned(sampled, "session_id")
+    if huge:
+        is_huge = is_one_of("session_id", huge)
+        pairs = _ordinary_pairs(views.where(~is_huge), order).unionByName(
+            _huge_session_pairs(views.where(is_huge), order, ranges)
+        )
+    else:
+        pairs = _ordinary_pairs(views, order)
     return (
         pairs.select(_split_name(F.col("previous"), F.col("page_id")).alias("page_split"), "pv")
         .where(F.col("page_split").isin(flow_splits(flow)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
-from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALTS, salted_join
+from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALTS, pinned, salted_join
 from footfall.params import JobParams
 from footfall.schemas import STEP_BUCKETS, STEP_RATIOS, VISIT_BUCKETS, VISIT_RATIOS
 from footfall.sources.tables import detail_columns
@@ -189,12 +189,14 @@ def session_detail(
     ``sessions`` carries ``step_length``, so the few sessions with very many
     actions are known beforehand; their rows are spread over ``salts`` tasks.
     """
-    hot = (
+    longest = (
         sessions.where(F.col("step_length") >= hot_rows)
         .orderBy(F.desc("step_length"), "session_id")
         .limit(MAX_HOT_KEYS)
     )
-    return salted_join(actions, sessions.select("session_id"), "session_id", "left_semi", salts, hot)
+    hot = pinned(longest, "session_id")
+    ids = sessions.select("session_id")
+    return salted_join(actions, ids, "session_id", "left_semi", salts, hot)
 
 
 def detail_of_few(actions: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -7,15 +7,13 @@ had before, and identical copies in different partitions get different salts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
 
 # A key is worth special care from this many rows on, and at most this many
-# keys get it, which bounds every broadcast of hot keys.
+# keys get it, which bounds every list of hot keys.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 SALTS = 64
@@ -69,43 +67,51 @@ def salted_count(df: DataFrame, keys: list[str], n: int = SALTS, name: str = "co
     )
 
 
+def pinned(keys: DataFrame, key: str) -> list:
+    """The values of a short key list, fixed for the rest of the plan.
+
+    A plan asks on both sides of a join which keys are hot. Looked up twice, a
+    sample could answer twice differently and rows would be lost; so the answer
+    is taken once. ``keys`` carries a limit of its own; this one only guards.
+    """
+    return [row[0] for row in keys.select(key).limit(MAX_HOT_KEYS).collect()]
+
+
+def is_one_of(key: str, values: list) -> Column:
+    """Whether the key is among the values; false for null."""
+    return F.coalesce(F.col(key).isin(values), F.lit(False))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     how: str = "inner",
     n: int = SALTS,
-    hot: DataFrame | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """Equi join with the left rows of a key spread over ``n`` tasks.
 
     Each right row is repeated once per salt, so every left row meets exactly
     the rows it would meet in a plain join: ``inner``, ``left``, ``left_semi``
-    and ``left_anti`` are all exact. With ``hot`` (a short list of keys, at most
-    ``MAX_HOT_KEYS`` of them) only those keys are salted and repeated, and each
-    side is still read once.
+    and ``left_anti`` are all exact. With ``hot``, a short list of keys, only
+    those are salted and repeated, and each side is still read once; with an
+    empty list it is the plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how!r}")
-    if hot is None:
-        left_salt = salt(left, n)
-        right_salts = F.sequence(F.lit(0), F.lit(n - 1))
-        salted_left = left.withColumn("_salt", left_salt)
-        salted_right = right.withColumn("_salt", F.explode(right_salts))
-    else:
-        # Bounded: hot_keys never returns more than the limit it was given.
-        marks = F.broadcast(
-            hot.select(key).limit(MAX_HOT_KEYS).distinct().withColumn("_hot", F.lit(True))
-        )
-        left_salt = F.when(F.col("_hot"), salt(left, n)).otherwise(F.lit(0))
-        right_salts = F.when(
-            F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))
-        ).otherwise(F.array(F.lit(0)))
-        salted_left = left.join(marks, key, "left").withColumn("_salt", left_salt).drop("_hot")
-        salted_right = (
-            right.join(marks, key, "left").withColumn("_salt", F.explode(right_salts)).drop("_hot")
-        )
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    if hot is not None and not hot:
+        return left.join(right, key, how)
+    left_salt = salt(left, n)
+    right_salts = F.sequence(F.lit(0), F.lit(n - 1))
+    if hot is not None:
+        left_salt = F.when(is_one_of(key, hot), left_salt).otherwise(F.lit(0))
+        right_salts = F.when(is_one_of(key, hot), right_salts).otherwise(F.array(F.lit(0)))
+    return (
+        left.withColumn("_salt", left_salt)
+        .join(right.withColumn("_salt", F.explode(right_salts)), [key, "_salt"], how)
+        .drop("_salt")
+    )
 
 
 def skew_split_join(
@@ -119,9 +125,11 @@ def skew_split_join(
     top: int = 1,
 ) -> DataFrame:
     """Join the sampled hottest keys with salts, all others plainly; union both."""
-    hot = F.broadcast(hot_keys(left, key, min(top, MAX_HOT_KEYS), fraction, seed).select(key))
+    hot = pinned(hot_keys(left, key, min(top, MAX_HOT_KEYS), fraction, seed), key)
+    if not hot:
+        return left.join(right, key, how)
     hot_part = salted_join(
-        left.join(hot, key, "left_semi"), right.join(hot, key, "left_semi"), key, how, n
+        left.where(is_one_of(key, hot)), right.where(is_one_of(key, hot)), key, how, n
     )
-    rest = left.join(hot, key, "left_anti").join(right, key, how)
-    return reduce(DataFrame.unionByName, [hot_part, rest])
+    rest = left.where(~is_one_of(key, hot)).join(right.where(~is_one_of(key, hot)), key, how)
+    return hot_part.unionByName(rest)

@@ -25,10 +25,10 @@ def shown(df):
 def test_all_ways_equal_the_plain_join(sides, how):
     left, right = sides
     plain = shown(left.join(right, "k", how))
-    hot = K.hot_keys(left, "k", 3)
+    hot = K.pinned(K.hot_keys(left, "k", 3), "k")
     assert shown(K.salted_join(left, right, "k", how, 7)) == plain
     assert shown(K.salted_join(left, right, "k", how, 7, hot)) == plain
-    assert shown(K.salted_join(left, right, "k", how, 7, hot.where("false"))) == plain
+    assert shown(K.salted_join(left, right, "k", how, 7, [])) == plain
     assert shown(K.skew_split_join(left, right, "k", how, 7, fraction=0.5, top=2)) == plain
 
 
