@@ -305,8 +305,10 @@ SELECT session_id, user_id,
        strftime(start_time, {_TIME}) AS start_time, visit_length, step_length
 FROM all_sess""",
         "session_terms": _BASE + """
-SELECT DISTINCT session_id, search_keyword, click_category_id FROM uva
-WHERE search_keyword IS NOT NULL OR click_category_id IS NOT NULL""",
+SELECT session_id, search_keyword, CAST(NULL AS BIGINT) AS click_category_id FROM uva
+WHERE search_keyword <> ''
+UNION
+SELECT session_id, NULL, click_category_id FROM uva WHERE click_category_id IS NOT NULL""",
         "session_profile": _filtered("true"),
         "filter_age_between": _filtered("age >= 25 AND age <= 40"),
         "filter_professional_in": _filtered("professional IN ('BUILDING', 'MACHINERY')"),

@@ -5,33 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions import columns as C
-
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 3
 
 
-def _bag(detail: DataFrame) -> DataFrame:
-    """One row per category an action touches, with what it did there."""
+def _touches(detail: DataFrame) -> DataFrame:
+    """One row per category an action clicks, orders or pays, with which it was.
 
-    def touch(category: Column, click: int, order: int, pay: int) -> Column:
-        return F.struct(
-            category.alias("category_id"),
-            F.lit(click).cast("bigint").alias("click_count"),
-            F.lit(order).cast("bigint").alias("order_count"),
-            F.lit(pay).cast("bigint").alias("pay_count"),
+    An id list may name a category twice, which counts twice. Only generators
+    and plain expressions, so all of it is compiled code.
+    """
+    click, order, pay = "click_category_id", "order_category_ids", "pay_category_ids"
+    return (
+        detail.select(
+            "session_id",
+            F.stack(
+                F.lit(3),
+                F.lit("click"), F.col(click).cast("string"),
+                F.lit("order"), F.col(order),
+                F.lit("pay"), F.col(pay),
+            ).alias("kind", "ids"),
         )
-
-    def ids(column: str) -> Column:
-        return F.coalesce(C.split_ids(F.col(column)), F.array().cast("array<bigint>"))
-
-    clicked = F.array_compact(F.array(F.col("click_category_id").cast("bigint")))
-    touches = F.concat(
-        F.transform(clicked, lambda c: touch(c, 1, 0, 0)),
-        F.transform(ids("order_category_ids"), lambda c: touch(c, 0, 1, 0)),
-        F.transform(ids("pay_category_ids"), lambda c: touch(c, 0, 0, 1)),
+        .where(F.col("ids").isNotNull())
+        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
+        .select("session_id", "kind", F.trim("id").try_cast("bigint").alias("category_id"))
+        .where(F.col("category_id").isNotNull())
     )
-    return detail.select("session_id", F.inline(touches))
 
 
 def _sums() -> list[Column]:
@@ -44,7 +43,16 @@ def category_activity(actions: DataFrame) -> DataFrame:
     One pass over the actions, and the base of both top lists: a session of any
     size shrinks to one row per category before it meets another table.
     """
-    return _bag(actions).groupBy("session_id", "category_id").agg(*_sums())
+    return (
+        _touches(actions)
+        .groupBy("session_id", "category_id")
+        .agg(
+            *[
+                F.count_if(F.col("kind") == kind).alias(f"{kind}_count")
+                for kind in ("click", "order", "pay")
+            ]
+        )
+    )
 
 
 def activity_of(activity: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -54,7 +62,7 @@ def activity_of(activity: DataFrame, sessions: DataFrame) -> DataFrame:
 
 def category_ids(detail: DataFrame) -> DataFrame:
     """Every category clicked, ordered or paid, once."""
-    return _bag(detail).select("category_id").distinct()
+    return _touches(detail).select("category_id").distinct()
 
 
 def category_click_counts(detail: DataFrame) -> DataFrame:
@@ -68,7 +76,9 @@ def category_click_counts(detail: DataFrame) -> DataFrame:
 def _listed_counts(detail: DataFrame, column: str, name: str) -> DataFrame:
     return (
         detail.where(F.col(column).isNotNull())
-        .select(F.explode(C.split_ids(F.col(column))).alias("category_id"))
+        .select(F.explode(F.split(column, ",")).alias("id"))
+        .select(F.trim("id").try_cast("bigint").alias("category_id"))
+        .where(F.col("category_id").isNotNull())
         .groupBy("category_id")
         .agg(F.count(F.lit(1)).alias(name))
     )

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions import columns as C
-from footfall.operators.sessions import session_terms
+from footfall.operators.sessions import session_lists
 
 SAMPLE_SIZE = 100
 
@@ -76,23 +75,14 @@ def sampled_session_records(sampled: DataFrame, actions: DataFrame) -> DataFrame
     repeats.
     """
     few = F.broadcast(sampled.select("session_id"))
-    lists = (
-        session_terms(actions.join(few, "session_id", "left_semi"))
-        .groupBy("session_id")
-        .agg(
-            C.distinct_text(F.col("search_keyword")).alias("search_keywords"),
-            F.array_join(
-                F.array_sort(F.collect_set("click_category_id")).cast("array<string>"), ","
-            ).alias("click_category_ids"),
-        )
-    )
+    lists = session_lists(actions.join(few, "session_id", "left_semi"))
+
+    def text(name: str) -> Column:
+        joined = F.array_join(F.col(name).cast("array<string>"), ",")
+        return F.coalesce(joined, F.lit("")).alias(name)
+
     return (
         sampled.select("session_id", "start_time")
         .join(lists, "session_id", "left")
-        .select(
-            "session_id",
-            "start_time",
-            F.coalesce("search_keywords", F.lit("")).alias("search_keywords"),
-            F.coalesce("click_category_ids", F.lit("")).alias("click_category_ids"),
-        )
+        .select("session_id", "start_time", text("search_keywords"), text("click_category_ids"))
     )

@@ -41,45 +41,62 @@ def session_features(
 
 
 def session_terms(actions: DataFrame) -> DataFrame:
-    """Distinct (session, keyword, category) of searches and clicks.
+    """Each session's distinct keywords and clicked categories, one per row.
 
-    Repeats go before anything is gathered per session, and the shuffle is on
-    all three columns, so a huge session is spread over many tasks.
+    The other of the two columns is null. The shuffle is on all three columns,
+    so the terms of a huge session are spread over many tasks.
     """
     keyword = F.nullif(F.col("search_keyword"), F.lit(""))
+    no_keyword, no_category = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     return (
         actions.select(
-            "session_id", keyword.alias("search_keyword"), "click_category_id"
+            "session_id",
+            F.stack(
+                F.lit(2), keyword, no_category, no_keyword, F.col("click_category_id").cast("bigint")
+            ).alias("search_keyword", "click_category_id"),
         )
         .where(F.col("search_keyword").isNotNull() | F.col("click_category_id").isNotNull())
         .distinct()
     )
 
 
-def session_rollup(actions: DataFrame) -> DataFrame:
-    """One full row per session, with its distinct keywords and categories.
+def session_lists(actions: DataFrame) -> DataFrame:
+    """Distinct keywords and clicked categories of every session that has any.
 
-    Two steps: repeats of a (session, keyword, category) are folded first, so
-    what is gathered per session is no more than what its row has to show.
+    Repeats are gone before the gathering, so what one task holds for a session
+    is no more than the session's row has to show. (Lists, not sets: in front of
+    a set Spark would drop the step that removes repeats.)
     """
-    folded = actions.groupBy(
-        "session_id",
-        F.nullif(F.col("search_keyword"), F.lit("")).alias("search_keyword"),
-        "click_category_id",
-    ).agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("first_time"),
-        F.max("action_time").alias("last_time"),
-        F.count(F.lit(1)).alias("steps"),
+    return (
+        session_terms(actions)
+        .groupBy("session_id")
+        .agg(
+            F.array_sort(F.collect_list("search_keyword")).alias("search_keywords"),
+            F.array_sort(F.collect_list("click_category_id")).alias("click_category_ids"),
+        )
     )
-    start, end = F.min("first_time"), F.max("last_time")
-    return folded.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.array_sort(F.collect_set("search_keyword")).alias("search_keywords"),
-        F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
-        start.alias("start_time"),
-        C.whole_seconds_between(start, end).alias("visit_length"),
-        F.sum("steps").alias("step_length"),
+
+
+def session_rollup(actions: DataFrame) -> DataFrame:
+    """One full row per session: the narrow features and the two lists.
+
+    Features and lists come out spread by session already, so putting them
+    together moves no data.
+    """
+    return (
+        session_features(actions)
+        .join(session_lists(actions), "session_id", "left")
+        .select(
+            "session_id",
+            "user_id",
+            F.coalesce("search_keywords", F.array().cast("array<string>")).alias("search_keywords"),
+            F.coalesce("click_category_ids", F.array().cast("array<bigint>")).alias(
+                "click_category_ids"
+            ),
+            "start_time",
+            "visit_length",
+            "step_length",
+        )
     )
 
 

@@ -13,6 +13,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Gathering sets per session sorts its input once a task has seen this many
+    # sessions; the default of 128 is far below what fits in memory.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

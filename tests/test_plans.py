@@ -89,3 +89,9 @@ def test_rollup_has_one_shuffle(spark):
 
 def test_plain_detail_when_no_session_is_hot(spark):
     assert "_salt" not in plan(Q._detail(spark, SF))
+
+
+def test_full_rollup_joins_without_another_shuffle(spark):
+    # One shuffle for the features, one to drop repeats, one for the lists.
+    text = plan(sessions.session_rollup(Q._task_actions(spark, SF)))
+    assert text.count("Exchange hashpartitioning") == 3
