@@ -204,6 +204,22 @@ trend AS (
 )
 """
 
+# The three slices of the replayed log, each filtered by what went before.
+_SLICES = """,
+s1 AS (SELECT * FROM clicks WHERE ts < TIMESTAMP '2024-01-11 06:00:00'),
+s2 AS (SELECT * FROM clicks WHERE ts >= TIMESTAMP '2024-01-11 06:00:00'
+                              AND ts < TIMESTAMP '2024-01-21 18:00:00'),
+s3 AS (SELECT * FROM clicks WHERE ts >= TIMESTAMP '2024-01-21 18:00:00'),
+d1 AS (SELECT date, user_id, ad_id FROM s1),
+b1 AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM d1 GROUP BY date, user_id, ad_id HAVING count(*) >= 2)),
+d2 AS (SELECT * FROM d1 UNION ALL
+       SELECT date, user_id, ad_id FROM s2 WHERE user_id NOT IN (SELECT user_id FROM b1)),
+b2 AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM d2 GROUP BY date, user_id, ad_id HAVING count(*) >= 2)),
+d3 AS (SELECT * FROM d2 UNION ALL
+       SELECT date, user_id, ad_id FROM s3 WHERE user_id NOT IN (SELECT user_id FROM b2)),
+kept AS (SELECT date, user_id, ad_id, count(*) AS click_count FROM d3 GROUP BY 1, 2, 3)
+"""
+
 _PROFILE_COLUMNS = (
     f"session_id, user_id, strftime(start_time, {_TIME}) AS start_time, "
     "visit_length, step_length, age, professional, city, sex"
@@ -419,6 +435,7 @@ UNION ALL SELECT 'top10_session_detail', count(*) FROM task_act
         "stream_ad_user_clicks": daily,
         "stream_ad_province_top": province_top,
         "stream_ad_blacklist": black,
+        "stream_ad_filtered": _BASE + _ADS + _SLICES + f"SELECT {_DAILY_COLUMNS} FROM kept",
         "stream_ad_trend": trend,
         "stream_ad_running_stat": ad_stat,
         "stream_ad_sliding": sliding,

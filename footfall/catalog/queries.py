@@ -582,7 +582,7 @@ def sink_replace_group(spark, sf_dir):
 ONCE = {"availableNow": True}
 
 
-def _replay(spark, sf_dir, start) -> tuple[ad_stream.AdTables, str]:
+def _replay(spark, sf_dir, start) -> ad_stream.AdTables:
     root = scratch_path(spark, "ad-stream")
     landing = f"{root}/log"
     clicks = V.ad_clicks(spark, sf_dir)
@@ -647,9 +647,9 @@ def stream_ad_trend(spark, sf_dir):
 def stream_ad_running_stat(spark, sf_dir):
     def start(lines, out, checkpoint):
         counts = ad_stream.running_stat(ad_log.parse_ad_log(lines))
-        return ad_stream.start_update(counts, out.stat, checkpoint, trigger=ONCE)
+        return ad_stream.start_update(counts, out.running_stat, checkpoint, trigger=ONCE)
 
-    return _replay(spark, sf_dir, start).stat.read(spark)
+    return _replay(spark, sf_dir, start).running_stat.read(spark)
 
 
 _SLIDING = schemas.StructType(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.ranking import top_n
 from footfall.operators.skew import SALTS, salted_join
 
 BLACKLIST_THRESHOLD = 100
@@ -54,13 +55,8 @@ def province_clicks(stat: DataFrame) -> DataFrame:
 def province_top_ads(stat: DataFrame, n: int = TOP_ADS, per_day: bool = True) -> DataFrame:
     """The ``n`` most clicked ads per day and province, or per province."""
     group = ["date", "province"] if per_day else ["province"]
-    best = Window.partitionBy(*group).orderBy(F.desc("click_count"), "ad_id", "date")
-    return (
-        province_clicks(stat)
-        .withColumn("_rank", F.row_number().over(best))
-        .where(F.col("_rank") <= n)
-        .select("date", "province", "ad_id", "click_count")
-    )
+    order = [F.desc("click_count"), "ad_id", "date"]
+    return top_n(province_clicks(stat), group, order, n).drop("_rank")
 
 
 def trend_columns(minute: Column) -> list[Column]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.ranking import top_n
+
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 3
 
@@ -124,9 +126,5 @@ def top_sessions_per_category(
         clicks = clicks.join(
             F.broadcast(categories.select("category_id")), "category_id", "left_semi"
         )
-    best = Window.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
-    return (
-        clicks.withColumn("_rank", F.row_number().over(best))
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+    order = [F.desc("click_count"), "session_id"]
+    return top_n(clicks, ["category_id"], order, n).drop("_rank")

@@ -40,14 +40,17 @@ def in_ranges(views: DataFrame, order: list[str], ranges: int | None = None) ->
     return ranged.withColumn("cut", F.spark_partition_id())
 
 
-def _huge_session_pairs(views: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
+def _huge_session_pairs(
+    views: DataFrame, order: list[str], splits: list[str], ranges: int | None
+) -> DataFrame:
     """Consecutive pages of sessions too big for one task.
 
     Equal views are folded into one row with a count; a run of c equal views is
     c - 1 steps from the page to itself. The folded rows are cut into ranges of
-    the whole order, so one session spreads over many tasks. Steps inside a range
-    are counted there; only the first and last row of each range go on, and the
-    first of a range follows the last of the session's range before it.
+    the whole order, so one session spreads over many tasks. Wanted steps inside a
+    range are counted there; besides the counts only the first and last row of
+    each range go on, and the first of a range follows the last of the session's
+    range before it.
     """
     ranged = in_ranges(views, order, ranges)
     inside = Window.partitionBy("session_id", "cut").orderBy(*order)
@@ -74,11 +77,12 @@ def _huge_session_pairs(views: DataFrame, order: list[str], ranges: int | None)
     records = F.array_compact(
         F.array(
             F.when(
-                F.col("previous").isNotNull(),
+                _split_name(F.col("previous"), F.col("page_id")).isin(splits),
                 record(no_session, no_cut, F.lit(False), F.col("previous"), F.lit(1)),
             ),
             F.when(
-                F.col("copies") > 1,
+                (F.col("copies") > 1)
+                & _split_name(F.col("page_id"), F.col("page_id")).isin(splits),
                 record(no_session, no_cut, F.lit(False), F.col("page_id"), F.col("copies") - 1),
             ),
             F.when(
@@ -91,8 +95,8 @@ def _huge_session_pairs(views: DataFrame, order: list[str], ranges: int | None)
             ),
         )
     )
-    # Steps inside ranges collapse to one row per page split here; the rest are
-    # at most two rows per session and range.
+    # Steps inside ranges collapse to one row per wanted split here; the rest
+    # are at most two rows per session and range.
     summed = (
         stepped.select(F.inline(records))
         .groupBy("session_id", "cut", "is_first", "previous", "page_id")
@@ -137,7 +141,7 @@ def page_pair_counts(
     if huge:
         is_huge = is_one_of("session_id", huge)
         pairs = _ordinary_pairs(views.where(~is_huge), order).unionByName(
-            _huge_session_pairs(views.where(is_huge), order, ranges)
+            _huge_session_pairs(views.where(is_huge), order, flow_splits(flow), ranges)
         )
     else:
         pairs = _ordinary_pairs(views, order)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
+from footfall.operators.ranking import top_n
 from footfall.sources.tables import click_scan
 
 TOP_PRODUCTS = 3
@@ -81,17 +82,13 @@ def area_top_products(
     send its best ``n`` per area instead of all products.
     """
     named = area_products_named(area_product_clicks(actions, cities), products)
-    best = Window.partitionBy("area").orderBy(F.desc("click_count"), "product_id")
-    return (
-        named.withColumn("_rank", F.row_number().over(best))
-        .where(F.col("_rank") <= n)
-        .select(
-            "area",
-            area_level(F.col("area"), levels).alias("area_level"),
-            "product_id",
-            "city_infos",
-            "click_count",
-            "product_name",
-            "product_status",
-        )
+    order = [F.desc("click_count"), "product_id"]
+    return top_n(named, ["area"], order, n).select(
+        "area",
+        area_level(F.col("area"), levels).alias("area_level"),
+        "product_id",
+        "city_infos",
+        "click_count",
+        "product_name",
+        "product_status",
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.operators.ranking import top_n
 from footfall.operators.sessions import session_lists
 
 SAMPLE_SIZE = 100
@@ -50,18 +51,12 @@ def sample_sessions(sessions: DataFrame, n: int = SAMPLE_SIZE, seed: int = 0) ->
     """At most ``n`` sessions, spread over days and hours by ``sample_quota``.
 
     The order within an hour is the digest of seed and session id: random to
-    the eye, the same on every run. No hour can give more than ``n`` rows, and
-    saying so to Spark lets each map task drop all but its best ``n`` per hour
-    before the shuffle.
+    the eye, the same on every run. No hour can give more than ``n`` rows, so
+    all but an hour's first ``n`` are dropped before its quota is applied.
     """
-    order = F.md5(F.concat(F.lit(str(seed)), F.col("session_id")))
-    hour = Window.partitionBy("date", "hour").orderBy("_order", "session_id")
-    best = (
-        _with_hour(sessions)
-        .withColumn("_order", order)
-        .withColumn("_rank", F.row_number().over(hour))
-        .where(F.col("_rank") <= n)
-    )
+    digest = F.md5(F.concat(F.lit(str(seed)), F.col("session_id")))
+    drawn = _with_hour(sessions).withColumn("_order", digest)
+    best = top_n(drawn, ["date", "hour"], ["_order", "session_id"], n)
     quotas = sample_quota(sessions_per_hour(sessions), n).select("date", "hour", "quota")
     return best.join(quotas, ["date", "hour"]).where(F.col("_rank") <= F.col("quota")).select(
         *sessions.columns

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import columns as C
-
 # A key is worth special care from this many rows on, and at most this many
 # keys get it, which bounds every list of hot keys.
 HOT_ROWS = 1_000_000
@@ -49,22 +47,13 @@ def hot_keys(
 
 
 def salted_count(df: DataFrame, keys: list[str], n: int = SALTS, name: str = "count") -> DataFrame:
-    """Rows per key in two steps: per (salted key), then per key.
+    """Rows per key in two steps: per key and salt, then per key.
 
     Spark's own partial aggregation already does this within a task; the extra
-    step helps when one key's partial results alone would swamp a task. The key
-    travels as prefixed text and has its prefix taken off in between.
+    step helps when one key's partial results alone would swamp a task.
     """
-    marked = F.concat_ws("_", salt(df, n).cast("string"), F.to_json(F.struct(*keys)))
-    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    partial = df.groupBy(marked.alias("marked")).agg(F.count(F.lit(1)).alias("part"))
-    back = F.from_json(C.remove_random_prefix(F.col("marked")), types)
-    return (
-        partial.select(back.alias("key"), "part")
-        .select("key.*", "part")
-        .groupBy(*keys)
-        .agg(F.sum("part").alias(name))
-    )
+    partial = df.groupBy(*keys, salt(df, n).alias("_salt")).agg(F.count(F.lit(1)).alias("_part"))
+    return partial.groupBy(*keys).agg(F.sum("_part").alias(name))
 
 
 def pinned(keys: DataFrame, key: str) -> list:

@@ -161,12 +161,16 @@ class BatchLog:
         if upto not in self._complete(spark)["merged"]:
             self._store(self._merge(self._stored(spark, upto + 1)), "merged", upto)
 
-    def remove_compacted(self, spark: SparkSession) -> None:
-        """Delete this table's folders that its newest merged one replaces."""
+    def remove_compacted(self, spark: SparkSession, keep: int = 1) -> None:
+        """Delete this table's folders that a merged one replaces.
+
+        The newest ``keep`` merged folders stay, with all batches after the
+        oldest of them; more than one gives running readers time to finish.
+        """
         found = self._complete(spark)
-        if not found["merged"]:
+        if len(found["merged"]) < keep:
             return
-        base = max(found["merged"])
+        base = sorted(found["merged"])[-keep]
         hadoop, _, fs = self._files(spark)
         for kind, ids in found.items():
             for number in ids:

@@ -20,6 +20,8 @@ from footfall.sources.ad_log import parse_ad_log
 
 BATCH_INTERVAL = "5 seconds"
 TREND_DELAY = "60 minutes"
+USER_KEYS = ["date", "user_id", "ad_id"]
+PLACE_KEYS = ["date", "province", "city", "ad_id"]
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,7 @@ class AdTables:
     @property
     def user_clicks(self) -> BatchLog:
         return self._log(
-            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "increment", ["date", "user_id", "ad_id"]
+            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "increment", USER_KEYS
         )
 
     @property
@@ -44,9 +46,12 @@ class AdTables:
 
     @property
     def stat(self) -> BatchLog:
-        return self._log(
-            "ad_stat", schemas.AD_STAT, "replace", ["date", "province", "city", "ad_id"]
-        )
+        return self._log("ad_stat", schemas.AD_STAT, "increment", PLACE_KEYS)
+
+    @property
+    def running_stat(self) -> BatchLog:
+        """The same statistics when Spark's state holds the totals."""
+        return self._log("ad_running_stat", schemas.AD_STAT, "replace", PLACE_KEYS)
 
     @property
     def province_top(self) -> BatchLog:
@@ -81,25 +86,17 @@ def process_batch(
     blacklist = tables.blacklist.read(spark, before=batch_id)
     allowed = ads.without_blacklisted(counted, blacklist).persist()
     try:
-        user_keys = ["date", "user_id", "ad_id"]
-        by_user = allowed.groupBy(*user_keys).agg(F.sum("click_count").alias("click_count"))
+        by_user = allowed.groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
         tables.user_clicks.write(batch_id, by_user)
 
         if threshold is not None:
             totals = tables.user_clicks.read_touching(
-                spark, allowed, user_keys, before=batch_id + 1
+                spark, allowed, USER_KEYS, before=batch_id + 1
             )
             tables.blacklist.write(batch_id, ads.blacklisted_users(totals, threshold))
 
-        place_keys = ["date", "province", "city", "ad_id"]
-        by_place = allowed.groupBy(*place_keys).agg(F.sum("click_count").alias("click_count"))
-        earlier = tables.stat.read_touching(spark, allowed, place_keys, before=batch_id)
-        tables.stat.write(
-            batch_id,
-            earlier.unionByName(by_place)
-            .groupBy(*place_keys)
-            .agg(F.sum("click_count").alias("click_count")),
-        )
+        by_place = allowed.groupBy(*PLACE_KEYS).agg(F.sum("click_count").alias("click_count"))
+        tables.stat.write(batch_id, by_place)
 
         touched = tables.stat.read_touching(
             spark, allowed, ["date", "province"], before=batch_id + 1
@@ -113,6 +110,7 @@ def _compact(spark: SparkSession, logs: list[BatchLog], batch_id: int, every: in
     if every and batch_id and batch_id % every == 0:
         for log in logs:
             log.compact(spark, batch_id - 1)
+            log.remove_compacted(spark, keep=2)
 
 
 def start_statistics(

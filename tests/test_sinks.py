@@ -54,9 +54,13 @@ def test_replace_and_compaction(spark, tmp_path):
     assert rows(log.read(spark)) == whole
     log.write(3, make([(D, "p", "c", 2, 4)]))
     log.compact(spark, 3)
+    folders = lambda: sorted(p.name[7:] for p in tmp_path.iterdir() if p.name.startswith("folder="))
+    log.remove_compacted(spark, keep=3)
+    log.remove_compacted(spark, keep=2)
+    assert folders() == [f"batch-{2:012d}", f"batch-{3:012d}", f"merged-{1:012d}", f"merged-{3:012d}"]
     log.remove_compacted(spark)
     assert rows(log.read(spark)) == [(D, "p", "c", 1, 3), (D, "p", "c", 2, 4), (E, "p", "c", 1, 7)]
-    assert len([p for p in tmp_path.iterdir() if p.name.startswith("folder=")]) == 1
+    assert folders() == [f"merged-{3:012d}"]
 
 
 def test_replaced_group_may_shrink(spark, tmp_path):

@@ -137,10 +137,10 @@ def test_state_kept_counts_with_and_without_watermark(spark, tmp_path):
         tables = replay(
             spark, tmp_path / name, batches,
             lambda lines, t, c, d=delay: S.start_update(
-                S.running_stat(L.parse_ad_log(lines), d), t.stat, c, trigger=ONCE
+                S.running_stat(L.parse_ad_log(lines), d), t.running_stat, c, trigger=ONCE
             ),
         )
-        assert rows(tables.stat.read(spark)) == wanted
+        assert rows(tables.running_stat.read(spark)) == wanted
 
 
 def test_malformed_lines_are_counted(spark, tmp_path):
