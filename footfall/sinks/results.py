@@ -12,16 +12,10 @@ def append_result(df: DataFrame, root: str, name: str, task_id: int) -> str:
     """Add a task's rows to the result table ``name``.
 
     Results lie in one folder per task. Running a task again replaces that
-    task's rows and leaves all others, so a retry does not double them.
+    task's rows, also by none, and leaves all others: a retry does not double them.
     """
     path = f"{root.rstrip('/')}/{name}"
-    (
-        df.withColumn("task_id", F.lit(task_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("task_id")
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/task_id={task_id}")
     return path
 
 

@@ -99,6 +99,9 @@ def test_results_are_kept_per_task(spark, tmp_path):
     append_result(make(4, 5), str(tmp_path), "top10_category", 2)
     got = read_result(spark, str(tmp_path), "top10_category").select("task_id", "category_id")
     assert rows(got) == [(1, 1), (1, 2), (2, 4), (2, 5)]
+    append_result(make(1).where("false"), str(tmp_path), "top10_category", 1)
+    got = read_result(spark, str(tmp_path), "top10_category").select("task_id", "category_id")
+    assert rows(got) == [(2, 4), (2, 5)]
 
 
 def test_empty_result_can_be_read(spark, tmp_path):
