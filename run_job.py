@@ -3,7 +3,7 @@
     spark-submit run_job.py session --actions A --users U --tasks T --task-id 2 --out O
     spark-submit run_job.py page    --actions A --tasks T --task-id 3 --out O
     spark-submit run_job.py product --actions A --cities C --products P --tasks T --task-id 4 --out O
-    spark-submit run_job.py ads     --servers host:9092 --topics AdRealTimeLog --out O --checkpoint K
+    spark-submit run_job.py ads     --servers host:9092 --topics t1,t2 --out O --checkpoint K
 
 Tables are Parquet folders. ``--tasks`` is the task table; ``--params`` gives its
 JSON text directly instead. ``--cities`` may be a JSON object of JDBC options.
