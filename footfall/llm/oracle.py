@@ -37,12 +37,12 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws
   SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM d WHERE len(ws) >= 13
 ), g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM v
 ), f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g
-), r AS (SELECT DISTINCT doc_id, i + j AS at FROM g JOIN f USING (g), range(13) t(j) WHERE first < doc_id
-), p AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS at FROM d
+), r AS (SELECT DISTINCT doc_id, i + j AS pos FROM g JOIN f USING (g), range(13) t(j) WHERE first < doc_id
+), p AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM d
 ), k AS (
-  SELECT doc_id, count(r.at) AS n_removed,
-         coalesce(string_agg(w, ' ' ORDER BY at) FILTER (WHERE r.at IS NULL), '') AS kept
-  FROM p LEFT JOIN r USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, count(r.pos) AS n_removed,
+         coalesce(string_agg(w, ' ' ORDER BY pos) FILTER (WHERE r.pos IS NULL), '') AS kept
+  FROM p LEFT JOIN r USING (doc_id, pos) GROUP BY doc_id
 )
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
