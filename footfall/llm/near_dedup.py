@@ -8,9 +8,10 @@ documents meet in a table when at least two of their collections agree.
 
 Documents with equal sets are one class, represented by its smallest doc_id.
 Representatives that share a table key are candidates. First each is held
-against the smallest one of the key; what that leaves in different components
-is held against each other, where the minhashes allow the required similarity.
-Every link is confirmed on the full sets.
+against the smallest and the largest one of the key. What that leaves in
+different components is held against each other where a third collection agrees
+as well, once, for the first three that do. One-bit minhashes of the candidates (Li and Koenig) drop pairs that are
+far from similar enough, and every link is confirmed on the full sets.
 
 Texts that are null or have no word have an empty set and are linked with
 nothing. A row without doc_id is linked with nothing; its component is null and
@@ -39,16 +40,19 @@ PERCENT = 85
 ROWS = 3
 # Chance that a pair just at the limit meets in no table.
 MISS = 1e-4
+# One-bit minhashes of a candidate, and the standard errors by which a pair may miss the limit.
+BITS = 1024
+MARGIN = 3.8
 SEED = 20240117
 
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, minhashes array<int>"
 
 
 def collections_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
-    """The least number of collections of which two agree with the wanted chance."""
+    """The least number of collections of which three agree with the wanted chance."""
     p = (percent / 100) ** rows
-    m = 2
-    while (1 - p) ** m + m * p * (1 - p) ** (m - 1) > miss:
+    m = 3
+    while sum(math.comb(m, i) * p**i * (1 - p) ** (m - i) for i in range(3)) > miss:
         m += 1
     return m
 
@@ -100,40 +104,79 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, SIGNED)
 
 
+def _sketch(grams: np.ndarray, salts: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The lowest bit of every minhash, packed into longs."""
+    least = np.full(len(salts), np.iinfo(np.uint64).max)
+    step = 512
+    for at in range(0, len(grams), step):
+        part = ((grams[at : at + step] ^ salts[:, None]) * factors[:, None]).min(axis=1)
+        np.minimum(least, part, out=least)
+    return np.packbits((mixed(least) >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64)
+
+
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(rep, grams) of the documents in ``ids`` (rep)."""
+    """(rep, grams, sketch) of the documents in ``ids`` (rep)."""
+    draw = np.random.default_rng(SEED + 1)
+    salts = draw.integers(0, 2**63, BITS, np.uint64)
+    factors = draw.integers(0, 2**63, BITS, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = hash_memory()
         for batch in batches:
-            grams = [shingles(t, memory).view(np.int64) for t in texts_of(batch, "text")]
+            grams = [shingles(t, memory) for t in texts_of(batch, "text")]
             offsets = np.concatenate(([0], np.cumsum([len(g) for g in grams]))).astype(np.int32)
-            values = pa.array(np.concatenate(grams) if grams else np.empty(0, np.int64), pa.int64())
-            yield pa.record_batch([batch.column(0), array_of(pa.int64(), offsets, values)], names=["rep", "grams"])
+            values = np.concatenate(grams).view(np.int64) if grams else np.empty(0, np.int64)
+            bits = [_sketch(g, salts, factors) for g in grams]
+            bits = np.concatenate(bits) if bits else np.empty(0, np.int64)
+            yield pa.record_batch(
+                [
+                    batch.column(0),
+                    array_of(pa.int64(), offsets, pa.array(values)),
+                    array_of(pa.int64(), np.arange(len(grams) + 1) * (BITS // 64), pa.array(bits)),
+                ],
+                names=["rep", "grams", "sketch"],
+            )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text"))
-    return texts.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, grams array<long>")
+    return texts.join(ids, "rep", "left_semi").mapInArrow(run, "rep long, grams array<long>, sketch array<long>")
 
 
-def _table_keys(reps: DataFrame, m: int, rows: int) -> DataFrame:
-    """A row for every table: the key of two collections, and the representative."""
-    tables = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(m) for j in range(i + 1, m)])
+def _tables(m: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(m) for j in range(i + 1, m)]
 
-    def part(table: str) -> list:
-        return [F.col("minhashes")[F.col(table) * rows + r] for r in range(rows)]
 
-    return (
-        reps.select("rep", "minhashes", F.explode(tables).alias("t"))
-        .select("rep", F.xxhash64("t.i", "t.j", *part("t.i"), *part("t.j")).alias("key"))
+def _collections(m: int, rows: int):
+    """One number for each collection of minhashes."""
+    return F.array(*[F.hash(*[F.col("minhashes")[i * rows + r] for r in range(rows)]) for i in range(m)])
+
+
+def _table_keys(reps: DataFrame, m: int) -> DataFrame:
+    """A row for every table: the key of two collections, with the table's number as its last byte."""
+    tables = F.array(
+        *[F.struct(F.lit(n).alias("n"), F.lit(i).alias("i"), F.lit(j).alias("j")) for n, (i, j) in enumerate(_tables(m))]
     )
+    of = F.xxhash64("t.n", F.col("parts")[F.col("t.i")], F.col("parts")[F.col("t.j")])
+    return reps.select("rep", "parts", F.explode(tables).alias("t")).select(
+        "rep", (F.shiftleft(of, 8)).bitwiseOR(F.col("t.n").cast("long")).alias("key")
+    )
+
+
+def _alike(a: str, b: str, percent: int):
+    """Whether the sketches leave a fair chance that the pair is linked."""
+    p = (1 + percent / 100) / 2
+    most = math.ceil(BITS * (1 - p) + MARGIN * math.sqrt(BITS * p * (1 - p)))
+    differing = sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64))
+    return differing <= most
+
 
+def _first_shared(a: str, b: str, m: int):
+    """Whether the row's three collections are the first in which both documents agree.
 
-def _alike(a: str, b: str, size: int, percent: int):
-    """Whether minhashes leave a chance of more than one in 10,000 that the pair is linked."""
-    j = percent / 100
-    least = math.floor(size * j - 3.8 * math.sqrt(size * j * (1 - j)))
-    equal = sum((F.col(a)[i] == F.col(b)[i]).cast("int") for i in range(size))
-    return equal >= least
+    The columns ``low`` and ``first`` are the bits of the collections under the
+    third one, and the bits of the other two.
+    """
+    equal = sum(F.when(F.col(f"{a}.parts")[i] == F.col(f"{b}.parts")[i], 1 << i).otherwise(0) for i in range(m))
+    return equal.bitwiseAND(F.col(f"{a}.low")) == F.col(f"{a}.first")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -153,8 +196,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     m = collections_for(percent, rows)
-    size = m * rows
-    signed = materialize(signatures(docs, size), "signatures")
+    signed = materialize(signatures(docs, m * rows), "signatures")
     classes = materialize(
         signed.where("doc_id is not null and n_shingles > 0")
         .groupBy("set_a", "set_b", "n_shingles")
@@ -162,35 +204,49 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS) -
         "classes",
     )
     # A doc_id with several texts may stand for several classes; each keeps its minhashes.
-    reps = classes.select("rep", "minhashes")
-    keys = _table_keys(reps, m, rows)
-    shared = (
-        keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
-    ).select("key", "least")
+    reps = classes.select("rep", _collections(m, rows).alias("parts"))
+    keys = _table_keys(reps, m)
+    shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     met = materialize(keys.join(shared, "key"), "met")
     members = met.select("rep").distinct()
     sets = materialize(_sets(docs, members), "sets")
-    marks = reps.join(members, "rep", "left_semi")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.distinct()
-            .join(marks.select(F.col("rep").alias("a"), F.col("minhashes").alias("mh_a")), "a")
-            .join(marks.select(F.col("rep").alias("b"), F.col("minhashes").alias("mh_b")), "b")
-            .where(_alike("mh_a", "mh_b", size, percent))
-            .select("a", "b")
-        )
-
-    stars = met.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    links = materialize(_confirmed(likely(stars), sets, percent), "links")
+    sketches = sets.select("rep", "sketch")
+
+    ends = F.explode(F.array("least", "most"))
+    stars = met.select("rep", ends.alias("end")).where("rep <> end")
+    stars = stars.select(F.greatest("rep", "end").alias("a"), F.least("rep", "end").alias("b")).distinct()
+    likely = (
+        stars.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("of_a")), "a")
+        .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("of_b")), "b")
+        .where(_alike("of_a", "of_b", percent))
+        .select("a", "b")
+    )
+    links = materialize(_confirmed(likely, sets, percent), "links")
     known = materialize(components(links), "known")
     # Keys whose documents are still in different components.
     placed = met.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    tables = _tables(m)
+    table = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    thirds = F.array(*[F.array(*[F.lit(k) for k in range(j + 1, m)]).cast("array<int>") for _, j in tables])
+    finer = materialize(
+        placed.join(apart.select("key"), "key", "left_semi")
+        .join(reps, "rep")
+        .withColumn("third", F.explode(thirds[table]))
+        .select(
+            F.xxhash64("key", "third", F.col("parts")[F.col("third")]).alias("key"),
+            "rep",
+            "component",
+            F.array(*[F.lit((1 << i) + (1 << j)) for i, j in tables])[table].alias("first"),
+            F.array(*[F.lit((1 << k) - 1) for k in range(m)])[F.col("third")].alias("low"),
+        ),
+        "finer",
+    )
+    apart = finer.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     left = materialize(
-        placed.join(apart.select("key"), "key", "left_semi").join(marks, "rep"), "apart"
+        finer.join(apart.select("key"), "key", "left_semi").join(sketches, "rep").join(reps, "rep"), "apart"
     )
     one, two = left.alias("one"), left.alias("two")
     across = one.join(
@@ -198,9 +254,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS) -
         (F.col("one.key") == F.col("two.key"))
         & (F.col("one.rep") > F.col("two.rep"))
         & (F.col("one.component") != F.col("two.component"))
-        & _alike("one.minhashes", "two.minhashes", size, percent),
+        & _first_shared("one", "two", m)
+        & _alike("one.sketch", "two.sketch", percent),
     ).select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
-    more = materialize(_confirmed(across.distinct(), sets, percent), "more")
+    more = materialize(_confirmed(across, sets, percent), "more")
     # Classes that share a representative and documents of one class are linked as well.
     member = signed.where("doc_id is not null and n_shingles > 0").join(
         classes.select("set_a", "set_b", "n_shingles", "rep"), ["set_a", "set_b", "n_shingles"]
