@@ -112,7 +112,7 @@ def base_spans(text):
             d = re.sub("[^0-9]", "", m.group())
             valid = {
                 "email": True,
-                "ip": kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")),
+                "ip": kind == "ip" and all(int(x.lstrip("0")[:4] or 0) <= 255 for x in m.group().split(".")),
                 "card": 13 <= len(d) <= 19 and luhn(d),
                 "phone": 9 <= len(d) <= 15,
             }[kind]
