@@ -6,7 +6,16 @@ tables, with joins, lists and ranks spelled out.
 
 from __future__ import annotations
 
-from footfall.schemas import STEP_BUCKETS, STEP_RATIOS, VISIT_BUCKETS, VISIT_RATIOS
+# Label, first and last length of every bucket. Fixed values.
+VISIT_BUCKETS = [
+    ("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+    ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None),
+]
+STEP_BUCKETS = [
+    ("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None),
+]
+VISIT_RATIOS = [f"visit_length_{label}_ratio" for label, _, _ in VISIT_BUCKETS]
+STEP_RATIOS = [f"step_length_{label}_ratio" for label, _, _ in STEP_BUCKETS]
 
 _TIME = "'%Y-%m-%d %H:%M:%S'"
 _DAY = "'%Y-%m-%d'"

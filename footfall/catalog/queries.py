@@ -295,7 +295,7 @@ def page_pair_counts(spark, sf_dir):
 def page_pair_counts_by_range(spark, sf_dir):
     """Every session of 3 or more actions treated as a huge one."""
     return funnel.page_pair_counts(
-        V.user_visit_action(spark, sf_dir), FLOW, sequence=["action_id"], hot_rows=3, fraction=1.0
+        V.user_visit_action(spark, sf_dir), FLOW, sequence=["action_id"], ranges=16
     )
 
 
@@ -399,10 +399,7 @@ def _blacklist(spark, sf_dir):
 
 @query("ad_filter_blacklisted")
 def ad_filter_blacklisted(spark, sf_dir):
-    clicks = V.ad_clicks(spark, sf_dir)
-    busy = skew.hot_keys(clicks, "user_id", skew.MAX_HOT_KEYS, 0.01, min_rows=skew.HOT_ROWS)
-    hot = skew.pinned(busy, "user_id")
-    return ads.without_blacklisted(clicks, _blacklist(spark, sf_dir), hot)
+    return ads.without_blacklisted(V.ad_clicks(spark, sf_dir), _blacklist(spark, sf_dir))
 
 
 @query("ad_user_daily_clicks")
@@ -477,7 +474,7 @@ def salted_join(spark, sf_dir):
 @query("salted_join_hot")
 def salted_join_hot(spark, sf_dir):
     actions = V.user_visit_action(spark, sf_dir).select("action_id", "user_id", "page_id")
-    hot = skew.pinned(skew.hot_keys(actions, "user_id", n=20), "user_id")
+    hot = skew.hot_keys(actions, "user_id", n=20)
     return skew.salted_join(actions, _who(spark, sf_dir), "user_id", "left", 10, hot)
 
 

@@ -13,8 +13,8 @@ DATE_KEY_FORMAT = "yyyyMMdd"
 MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
 DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
 
-# Last millisecond of year 9999: later values are not timestamps.
-MAX_EPOCH_MILLIS = 253402300799999
+# The most milliseconds from the epoch, either way, that a timestamp can hold.
+MAX_EPOCH_MILLIS = (2**63 - 1) // 1000
 
 
 def concat_long_string(number: Column, text: Column, sep: str) -> Column:
@@ -100,10 +100,10 @@ def date_hour(ts: Column) -> Column:
 
 
 def from_epoch_millis(text: Column) -> Column:
-    """Epoch-millisecond text as a timestamp; null when it is no such number."""
+    """Epoch-millisecond text as a timestamp; null when it is no number or overflows."""
     millis = text.try_cast("bigint")
     return F.when(
-        millis.between(0, MAX_EPOCH_MILLIS), F.timestamp_millis(millis)
+        millis.between(-MAX_EPOCH_MILLIS, MAX_EPOCH_MILLIS), F.timestamp_millis(millis)
     )
 
 

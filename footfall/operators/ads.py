@@ -6,24 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators.ranking import top_n
-from footfall.operators.skew import SALTS, salted_join
 
 BLACKLIST_THRESHOLD = 100
 TOP_ADS = 3
 TREND_MINUTES = 60
 
 
-def without_blacklisted(
-    clicks: DataFrame, blacklist: DataFrame, hot: list | None = None, salts: int = SALTS
-) -> DataFrame:
+def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Clicks of users that are not on the blacklist.
 
-    ``hot`` lists users with very many clicks; their clicks are spread over
-    ``salts`` tasks. Counts per user need none: they are one row per key.
+    An anti join; Spark splits a user with very many clicks at run time.
     """
     users = blacklist.select("user_id").distinct()
-    kept = salted_join(clicks, users, "user_id", "left_anti", salts, hot or [])
-    return kept.select(*clicks.columns)
+    return clicks.join(users, "user_id", "left_anti").select(*clicks.columns)
 
 
 def user_daily_clicks(clicks: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def category_activity(actions: DataFrame) -> DataFrame:
     size shrinks to one row per category before it meets another table.
     """
     return (
-        _touches(actions)
+        _touches(actions.where(F.col("session_id").isNotNull()))
         .groupBy("session_id", "category_id")
         .agg(
             *[
@@ -118,13 +118,11 @@ def top_sessions_per_category(
 ) -> DataFrame:
     """The ``n`` sessions with most clicks in each category.
 
-    ``categories`` restricts the result to a top list, which its own limit keeps
-    small enough to send to all executors; without it every category counts.
+    ``categories`` restricts the result to a top list; without it every category
+    counts.
     """
     clicks = session_category_clicks(activity)
     if categories is not None:
-        clicks = clicks.join(
-            F.broadcast(categories.select("category_id")), "category_id", "left_semi"
-        )
+        clicks = clicks.join(categories.select("category_id"), "category_id", "left_semi")
     order = [F.desc("click_count"), "session_id"]
     return top_n(clicks, ["category_id"], order, n).drop("_rank")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
-from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, hot_keys, is_one_of, pinned
 
 START = "start"
 
@@ -20,16 +19,6 @@ def _split_name(previous: Column, page: Column) -> Column:
     return F.concat_ws("_", previous.cast("string"), page.cast("string"))
 
 
-def _ordinary_pairs(views: DataFrame, order: list[str]) -> DataFrame:
-    """Consecutive pages per session; one task sees a session's whole order."""
-    path = Window.partitionBy("session_id").orderBy(*order)
-    return (
-        views.withColumn("previous", F.lag("page_id").over(path))
-        .where(F.col("previous").isNotNull())
-        .select("previous", "page_id", F.lit(1).cast("bigint").alias("pv"))
-    )
-
-
 def in_ranges(views: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
     """Distinct views with their ``copies``, cut into ranges of the whole order."""
     whole = ["session_id", *order]
@@ -40,10 +29,10 @@ def in_ranges(views: DataFrame, order: list[str], ranges: int | None = None) ->
     return ranged.withColumn("cut", F.spark_partition_id())
 
 
-def _huge_session_pairs(
+def _consecutive_pairs(
     views: DataFrame, order: list[str], splits: list[str], ranges: int | None
 ) -> DataFrame:
-    """Consecutive pages of sessions too big for one task.
+    """Consecutive pages of every session, however big.
 
     Equal views are folded into one row with a count; a run of c equal views is
     c - 1 steps from the page to itself. The folded rows are cut into ranges of
@@ -122,29 +111,17 @@ def page_pair_counts(
     actions: DataFrame,
     flow: list[int],
     sequence: list[str] = (),
-    hot_rows: int = HOT_ROWS,
-    fraction: float = 0.01,
     ranges: int | None = None,
 ) -> DataFrame:
     """Views of each target split: page B right after page A in one session.
 
     Actions go by time, then by the ``sequence`` columns (an event number, where
-    the table has one), then by page. A small sample of the session column shows
-    which sessions are huge; they are counted by range, all others by a window
-    per session. The sample only chooses the way, the counts are exact. ``ranges``
-    is the number of ranges, by default the session's shuffle partitions.
+    the table has one), then by page. Rows without a session id are in no session.
+    ``ranges`` is the number of ranges, by default the session's shuffle partitions.
     """
     order = ["action_time", *sequence, "page_id"]
-    views = actions.select("session_id", *order)
-    sampled = hot_keys(views, "session_id", MAX_HOT_KEYS, fraction, min_rows=hot_rows)
-    huge = pinned(sampled, "session_id")
-    if huge:
-        is_huge = is_one_of("session_id", huge)
-        pairs = _ordinary_pairs(views.where(~is_huge), order).unionByName(
-            _huge_session_pairs(views.where(is_huge), order, flow_splits(flow), ranges)
-        )
-    else:
-        pairs = _ordinary_pairs(views, order)
+    views = actions.where(F.col("session_id").isNotNull()).select("session_id", *order)
+    pairs = _consecutive_pairs(views, order, flow_splits(flow), ranges)
     return (
         pairs.select(_split_name(F.col("previous"), F.col("page_id")).alias("page_split"), "pv")
         .where(F.col("page_split").isin(flow_splits(flow)))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from footfall.operators.skew import SALTS, salt
 
-# Up to this many rows per group Spark cuts a rank filter short inside the map
-# tasks by itself (spark.sql.optimizer.windowGroupLimitThreshold).
-CUT_BY_SPARK = 1000
+# Up to this many rows per group Spark cuts a rank filter short inside the map tasks by itself.
+CUT_BY_SPARK = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_n(
@@ -26,6 +25,7 @@ def top_n(
         ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return rows.withColumn(rank, ranked).where(F.col(rank) <= n)
 
-    if n > CUT_BY_SPARK:
-        df = first(df.withColumn("_salt", salt(df, SALTS)), [*group, "_salt"]).drop("_salt", rank)
+    if n > int(df.sparkSession.conf.get(CUT_BY_SPARK, "-1")):
+        spread = df.withColumn("_salt", salt(df, SALTS))
+        df = first(spread, [*group, "_salt"]).drop("_salt", rank)
     return first(df, group)

@@ -69,7 +69,7 @@ def sampled_session_records(sampled: DataFrame, actions: DataFrame) -> DataFrame
     The lists are gathered for the sampled sessions alone, after removing
     repeats.
     """
-    few = F.broadcast(sampled.select("session_id"))
+    few = sampled.select("session_id")
     lists = session_lists(actions.join(few, "session_id", "left_semi"))
 
     def text(name: str) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
-from footfall.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALTS, pinned, salted_join
 from footfall.params import JobParams
 from footfall.schemas import STEP_BUCKETS, STEP_RATIOS, VISIT_BUCKETS, VISIT_RATIOS
 from footfall.sources.tables import detail_columns
@@ -23,7 +22,7 @@ def session_features(
     Only fixed-size aggregates, so a session of any size is reduced inside the
     map tasks to one row each. Whether a session searched one of ``keywords`` or
     clicked one of ``category_ids`` is a boolean here, which spares the filters
-    the session's full lists.
+    the session's full lists. A row without a session id belongs to no session.
     """
     marks = {}
     if keywords:
@@ -31,7 +30,7 @@ def session_features(
     if category_ids:
         marks["clicked_category"] = F.col("click_category_id").isin(list(category_ids))
     start, end = F.min("action_time"), F.max("action_time")
-    return actions.groupBy("session_id").agg(
+    return actions.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         start.alias("start_time"),
         C.whole_seconds_between(start, end).alias("visit_length"),
@@ -55,6 +54,7 @@ def session_terms(actions: DataFrame) -> DataFrame:
                 F.lit(2), keyword, no_category, no_keyword, F.col("click_category_id").cast("bigint")
             ).alias("search_keyword", "click_category_id"),
         )
+        .where(F.col("session_id").isNotNull())
         .where(F.col("search_keyword").isNotNull() | F.col("click_category_id").isNotNull())
         .distinct()
     )
@@ -198,29 +198,16 @@ def session_length_stats(sessions: DataFrame) -> DataFrame:
     )
 
 
-def session_detail(
-    actions: DataFrame, sessions: DataFrame, hot_rows: int = HOT_ROWS, salts: int = SALTS
-) -> DataFrame:
+def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """All action rows of the given sessions.
 
-    ``sessions`` carries ``step_length``, so the few sessions with very many
-    actions are known beforehand; their rows are spread over ``salts`` tasks.
+    A semi join from two shuffles, or with the sessions sent to all executors
+    where Spark measures them small; a session with very many rows is split by
+    Spark at run time.
     """
-    longest = (
-        sessions.where(F.col("step_length") >= hot_rows)
-        .orderBy(F.desc("step_length"), "session_id")
-        .limit(MAX_HOT_KEYS)
-    )
-    hot = pinned(longest, "session_id")
-    ids = sessions.select("session_id")
-    return salted_join(actions, ids, "session_id", "left_semi", salts, hot)
+    return actions.join(sessions.select("session_id"), "session_id", "left_semi").select(*actions.columns)
 
 
 def detail_of_few(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Action rows of a bounded handful of sessions, each row once.
-
-    For results with a row bound of their own (a sample, tops per category of a
-    top list); only then is sending the ids to all executors safe.
-    """
-    few = F.broadcast(sessions.select("session_id").distinct())
-    return detail_columns(actions.join(few, "session_id", "left_semi"))
+    """The detail columns of the given sessions' action rows, each row once."""
+    return detail_columns(session_detail(actions, sessions))

@@ -9,17 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-# A key is worth special care from this many rows on, and at most this many
-# keys get it, which bounds every list of hot keys.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
 SALTS = 64
 
 
-def salt(df: DataFrame, n: int) -> Column:
-    """A number below ``n`` that spreads the rows of any one key."""
-    return F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(n)).cast("int")
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, MapType)
+
+
+def salt(df: DataFrame, n: int, by: list[str] | None = None) -> Column:
+    """A number below ``n`` that spreads the rows of any one key.
+
+    ``by`` names the columns it is made from, by default all that have a hash;
+    columns that the plan does not need otherwise are better left out.
+    """
+    columns = [f.name for f in df.schema.fields if _hashable(f.dataType)] if by is None else by
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(n)).cast("int")
 
 
 def hot_keys(
@@ -52,23 +62,15 @@ def salted_count(df: DataFrame, keys: list[str], n: int = SALTS, name: str = "co
     Spark's own partial aggregation already does this within a task; the extra
     step helps when one key's partial results alone would swamp a task.
     """
+    df = df.select(*keys)
     partial = df.groupBy(*keys, salt(df, n).alias("_salt")).agg(F.count(F.lit(1)).alias("_part"))
     return partial.groupBy(*keys).agg(F.sum("_part").alias(name))
 
 
-def pinned(keys: DataFrame, key: str) -> list:
-    """The values of a short key list, fixed for the rest of the plan.
-
-    A plan asks on both sides of a join which keys are hot. Looked up twice, a
-    sample could answer twice differently and rows would be lost; so the answer
-    is taken once. ``keys`` carries a limit of its own; this one only guards.
-    """
-    return [row[0] for row in keys.select(key).limit(MAX_HOT_KEYS).collect()]
-
-
-def is_one_of(key: str, values: list) -> Column:
-    """Whether the key is among the values; false for null."""
-    return F.coalesce(F.col(key).isin(values), F.lit(False))
+def _marked(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The rows with ``_hot``: whether their key is in the table of hot keys; false for null."""
+    marks = hot.select(key).distinct().withColumn("_hot", F.lit(True))
+    return df.join(marks, key, "left").select(*df.columns, F.coalesce("_hot", F.lit(False)).alias("_hot"))
 
 
 def salted_join(
@@ -77,29 +79,29 @@ def salted_join(
     key: str,
     how: str = "inner",
     n: int = SALTS,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Equi join with the left rows of a key spread over ``n`` tasks.
 
     Each right row is repeated once per salt, so every left row meets exactly
     the rows it would meet in a plain join: ``inner``, ``left``, ``left_semi``
-    and ``left_anti`` are all exact. With ``hot``, a short list of keys, only
-    those are salted and repeated, and each side is still read once; with an
-    empty list it is the plain join.
+    and ``left_anti`` are all exact. With ``hot``, a table of any number of keys,
+    only those are salted and repeated. ``hot`` is asked on both sides, so it has
+    to be the same each time it is read: a stored table, or a plan without chance.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how!r}")
-    if hot is not None and not hot:
-        return left.join(right, key, how)
-    left_salt = salt(left, n)
+    left_salt = salt(left, n, by)
     right_salts = F.sequence(F.lit(0), F.lit(n - 1))
     if hot is not None:
-        left_salt = F.when(is_one_of(key, hot), left_salt).otherwise(F.lit(0))
-        right_salts = F.when(is_one_of(key, hot), right_salts).otherwise(F.array(F.lit(0)))
+        left, right = _marked(left, hot, key), _marked(right, hot, key).withColumnRenamed("_hot", "_hot_too")
+        left_salt = F.when(F.col("_hot"), left_salt).otherwise(F.lit(0))
+        right_salts = F.when(F.col("_hot_too"), right_salts).otherwise(F.array(F.lit(0)))
     return (
         left.withColumn("_salt", left_salt)
         .join(right.withColumn("_salt", F.explode(right_salts)), [key, "_salt"], how)
-        .drop("_salt")
+        .drop("_salt", "_hot", "_hot_too")
     )
 
 
@@ -113,12 +115,15 @@ def skew_split_join(
     seed: int = 7,
     top: int = 1,
 ) -> DataFrame:
-    """Join the sampled hottest keys with salts, all others plainly; union both."""
-    hot = pinned(hot_keys(left, key, min(top, MAX_HOT_KEYS), fraction, seed), key)
-    if not hot:
-        return left.join(right, key, how)
+    """Join the ``top`` hottest keys of a sample with salts, all others plainly; union both.
+
+    The sample is drawn with a seed from the same scan each time, so both
+    sides of both joins see the same hot keys.
+    """
+    hot = hot_keys(left, key, top, fraction, seed)
+    left, right = _marked(left, hot, key), _marked(right, hot, key)
     hot_part = salted_join(
-        left.where(is_one_of(key, hot)), right.where(is_one_of(key, hot)), key, how, n
+        left.where("_hot").drop("_hot"), right.where("_hot").drop("_hot"), key, how, n
     )
-    rest = left.where(~is_one_of(key, hot)).join(right.where(~is_one_of(key, hot)), key, how)
+    rest = left.where("not _hot").drop("_hot").join(right.where("not _hot").drop("_hot"), key, how)
     return hot_part.unionByName(rest)

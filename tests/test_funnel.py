@@ -36,12 +36,12 @@ def random_views(seed, n, sessions, seconds, pages=3):
     ]
 
 
-@pytest.mark.parametrize("hot_rows, ranges", [(1, None), (1, 5), (20, 50), (10**6, None)])
+@pytest.mark.parametrize("ranges", [None, 1, 5, 50])
 @pytest.mark.parametrize("seconds", [1, 5, 5000])
-def test_pairs_match_brute_force(spark, hot_rows, ranges, seconds):
+def test_pairs_match_brute_force(spark, ranges, seconds):
     views = random_views(seconds, 400, 6, seconds)
     df = table(spark, views).repartition(5)
-    got = N.page_pair_counts(df, FLOW, hot_rows=hot_rows, fraction=1.0, ranges=ranges)
+    got = N.page_pair_counts(df, FLOW, ranges=ranges)
     assert rows(got) == brute(views, FLOW)
 
 
@@ -53,51 +53,51 @@ def test_pairs_match_brute_force(spark, hot_rows, ranges, seconds):
 )
 def test_both_ways_agree(spark, views):
     df = table(spark, views)
-    for how in ({"hot_rows": 10**6}, {"hot_rows": 1}, {"hot_rows": 1, "ranges": 7}):
-        got = N.page_pair_counts(df, FLOW, fraction=1.0, **how)
+    for ranges in (None, 1, 7):
+        got = N.page_pair_counts(df, FLOW, ranges=ranges)
         assert rows(got) == brute(views, FLOW)
 
 
 def test_one_session_of_equal_views_is_cut_up(spark):
     views = [("bot", 0, 1)] * 500 + [("bot", 1, 2)] * 500 + [("bot", 1, 3)]
-    got = N.page_pair_counts(table(spark, views), [1, 1, 2, 2, 3], hot_rows=100, fraction=1.0, ranges=3)
+    got = N.page_pair_counts(table(spark, views), [1, 1, 2, 2, 3], ranges=3)
     assert rows(got) == [("1_1", 499), ("1_2", 1), ("2_2", 499), ("2_3", 1)]
 
 
 def test_rates(spark):
     views = [("a", 0, 1), ("a", 1, 2), ("a", 2, 3), ("b", 0, 1), ("b", 1, 2), ("c", 0, 1)]
-    got = [tuple(r) for r in N.page_conversion(table(spark, views), [1, 2, 3, 4, 5], fraction=1.0).orderBy("step").collect()]
+    got = [tuple(r) for r in N.page_conversion(table(spark, views), [1, 2, 3, 4, 5]).orderBy("step").collect()]
     assert got == [
         (1, "1_2", 2, 3, 0.67), (2, "2_3", 1, 2, 0.5), (3, "3_4", 0, 1, 0.0), (4, "4_5", 0, 0, None),
     ]
 
 
 def test_no_start_views(spark):
-    got = N.page_conversion(table(spark, [("a", 0, 9)]), [1, 2], fraction=1.0).collect()
+    got = N.page_conversion(table(spark, [("a", 0, 9)]), [1, 2]).collect()
     assert [tuple(r) for r in got] == [(1, "1_2", 0, 0, None)]
 
 
 def test_repeated_split_has_a_row_per_step(spark):
     views = [("a", i, 1 + i % 2) for i in range(5)]  # 1 2 1 2 1
-    got = N.page_conversion(table(spark, views), [1, 2, 1, 2], fraction=1.0).orderBy("step").collect()
+    got = N.page_conversion(table(spark, views), [1, 2, 1, 2]).orderBy("step").collect()
     assert [(r["page_split"], r["pv"]) for r in got] == [("1_2", 2), ("2_1", 2), ("1_2", 2)]
 
 
 def test_flow_of_one_page_has_no_steps(spark):
-    assert N.page_conversion(table(spark, [("a", 0, 1)]), [1], fraction=1.0).collect() == []
+    assert N.page_conversion(table(spark, [("a", 0, 1)]), [1]).collect() == []
 
 
 def test_packed(spark):
     views = [("a", 0, 1), ("a", 1, 2), ("b", 0, 1), ("c", 0, 1), ("a", 2, 3)]
-    got = N.packed_conversion(N.page_conversion(table(spark, views), [1, 2, 3], fraction=1.0))
+    got = N.packed_conversion(N.page_conversion(table(spark, views), [1, 2, 3]))
     assert got.first()[0] == "1_2=0.33|2_3=1.0"
 
 
 def test_sequence_orders_equal_times(spark):
     df = table(spark, [("a", 0, 2), ("a", 0, 1)]).selectExpr("*", "if(page_id = 2, 1, 2) AS nr")
-    assert rows(N.page_pair_counts(df, [2, 1], ["nr"], fraction=1.0)) == [("2_1", 1)]
-    assert rows(N.page_pair_counts(df, [2, 1], fraction=1.0)) == []
-    assert rows(N.page_pair_counts(df, [2, 1], ["nr"], hot_rows=1, fraction=1.0)) == [("2_1", 1)]
+    assert rows(N.page_pair_counts(df, [2, 1], ["nr"])) == [("2_1", 1)]
+    assert rows(N.page_pair_counts(df, [2, 1])) == []
+    assert rows(N.page_pair_counts(df, [2, 1], ["nr"])) == [("2_1", 1)]
 
 
 def test_a_huge_session_is_spread_over_ranges(spark):
@@ -106,3 +106,8 @@ def test_a_huge_session_is_spread_over_ranges(spark):
     cut = N.in_ranges(df, ["action_time", "page_id"], 8)
     sizes = [r["count"] for r in cut.groupBy("cut").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 600
+
+
+def test_rows_without_session_are_in_no_session(spark):
+    views = [("a", 0, 1), ("a", 1, 2), (None, 0, 1), (None, 1, 2), (None, 2, 1)]
+    assert rows(N.page_pair_counts(table(spark, views), [1, 2, 1])) == [("1_2", 1)]

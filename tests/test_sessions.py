@@ -118,7 +118,7 @@ def test_shares_of_nothing(spark):
     assert set(row.values()) == {None}
 
 
-def test_detail_is_the_same_with_hot_sessions(spark):
+def test_detail_with_a_hot_session(spark):
     # One session holds most rows, many of them identical.
     base = actions(
         spark,
@@ -127,9 +127,19 @@ def test_detail_is_the_same_with_hot_sessions(spark):
     ).repartition(4)
     wanted = S.session_features(base).where("session_id <> 'out'")
     plain = rows(base.where("session_id <> 'out'").select("session_id", "action_time"))
-    for hot_rows in (100, 10**6):
-        got = S.session_detail(base, wanted, hot_rows=hot_rows, salts=8)
-        assert rows(got.select("session_id", "action_time")) == plain
+    got = S.session_detail(base, wanted)
+    assert got.columns == base.columns
+    assert rows(got.select("session_id", "action_time")) == plain
+
+
+def test_rows_without_session_belong_to_no_session(spark):
+    base = actions(
+        spark,
+        [action("a", 1, search_keyword="k"), action(None, 1, search_keyword="x"), action(None, 2, click_category_id=3)],
+    )
+    got = S.session_rollup(base).collect()
+    assert [(r.session_id, r.search_keywords, r.step_length) for r in got] == [("a", ["k"], 1)]
+    assert S.session_detail(base, S.session_features(base)).count() == 1
 
 
 def test_detail_of_few_lists_a_session_once(spark):

@@ -25,10 +25,11 @@ def shown(df):
 def test_all_ways_equal_the_plain_join(sides, how):
     left, right = sides
     plain = shown(left.join(right, "k", how))
-    hot = K.pinned(K.hot_keys(left, "k", 3), "k")
+    hot = K.hot_keys(left, "k", 3)
     assert shown(K.salted_join(left, right, "k", how, 7)) == plain
     assert shown(K.salted_join(left, right, "k", how, 7, hot)) == plain
-    assert shown(K.salted_join(left, right, "k", how, 7, [])) == plain
+    assert shown(K.salted_join(left, right, "k", how, 7, hot.limit(0))) == plain
+    assert shown(K.salted_join(left, right, "k", how, 7, by=["v"])) == plain
     assert shown(K.skew_split_join(left, right, "k", how, 7, fraction=0.5, top=2)) == plain
 
 
@@ -61,3 +62,21 @@ def test_hot_keys(sides):
     assert [tuple(r) for r in got] == [(0, 315), (1, 15)]
     assert K.hot_keys(left, "k", 5, min_rows=100).count() == 1
     assert K.hot_keys(left, "k", 5, fraction=0.5, seed=3, min_rows=200).collect()[0]["k"] == 0
+
+
+def test_any_number_of_hot_keys(spark):
+    left = spark.range(5000).selectExpr("id % 2500 AS k", "id AS v")
+    right = spark.range(0, 2500, 2).selectExpr("id AS k", "id * 10 AS r")
+    hot = K.hot_keys(left, "k", 2500)
+    assert hot.count() == 2500
+    assert shown(K.salted_join(left, right, "k", "left", 3, hot)) == shown(left.join(right, "k", "left"))
+    got = K.skew_split_join(left, right, "k", "left", 3, fraction=1.0, top=2500)
+    assert shown(got) == shown(left.join(right, "k", "left"))
+
+
+def test_map_columns_and_unused_columns(spark):
+    df = spark.range(100).selectExpr("id % 3 AS k", "map('a', id) AS m", "array(map(id, id)) AS l")
+    right = spark.range(3).selectExpr("id AS k", "id AS r")
+    assert K.salted_join(df, right, "k").count() == 100
+    plan = K.salted_count(df, ["k"])
+    assert plan.agg(F.sum("count")).first()[0] == 100
