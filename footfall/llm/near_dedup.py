@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
@@ -45,6 +46,9 @@ BITS = 1024
 MARGIN = 3.8
 SEED = 20240117
 
+# Texts sent to a Python worker at once, which bounds what it holds.
+BATCH_TEXTS = 1_000
+
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, minhashes array<int>"
 
 
@@ -57,6 +61,18 @@ def collections_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return m
 
 
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = BATCH_TEXTS):
+    """For jobs that run inside: Arrow batches of fewer rows than the session's."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shingles(text: bytes, memory, k: int = SHINGLE) -> np.ndarray:
     """Hashes of the distinct shingles, ascending; all words as one when there are fewer."""
     words = text.translate(LOWER).split()
@@ -193,10 +209,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS
+) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    m = collections_for(percent, rows)
-    signed = materialize(signatures(docs, m * rows), "signatures")
+    m = collections_for(percent, rows, miss)
+    with _small_batches(docs.sparkSession):
+        signed = materialize(signatures(docs, m * rows), "signatures")
     classes = materialize(
         signed.where("doc_id is not null and n_shingles > 0")
         .groupBy("set_a", "set_b", "n_shingles")
@@ -209,7 +228,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS) -
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     met = materialize(keys.join(shared, "key"), "met")
     members = met.select("rep").distinct()
-    sets = materialize(_sets(docs, members), "sets")
+    with _small_batches(docs.sparkSession):
+        sets = materialize(_sets(docs, members), "sets")
     sketches = sets.select("rep", "sketch")
 
     ends = F.explode(F.array("least", "most"))
