@@ -30,10 +30,9 @@ def test_daily_clicks_and_blacklist(spark):
 
 def test_blacklist_filter(spark):
     black = spark.createDataFrame([(1,), (1,), (7,)], "user_id bigint")
-    for extra in (None, [], [2, 1]):
-        got = A.without_blacklisted(table(spark), black, extra, 4)
-        assert sorted(r["user_id"] for r in got.collect()) == [2, 2, 3]
-        assert got.columns == table(spark).columns
+    got = A.without_blacklisted(table(spark), black)
+    assert sorted(r["user_id"] for r in got.collect()) == [2, 2, 3]
+    assert got.columns == table(spark).columns
 
 
 def test_stat(spark):
