@@ -15,6 +15,7 @@ other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,6 +36,11 @@ PARTITION_PIECES = 40_000
 # Times that open pieces are exchanged at most; each exchange leaves fewer.
 EXCHANGES = 4
 
+# A chunk that the tokenizer splits after the letters: ASCII marks follow an ASCII
+# letter. An apostrophe may begin a contraction, and < a special token.
+_MARKS = re.compile(rb"([a-z\x80-\xff]*[a-z])([!-&(-/:;=-@\[-`{-~]+)")
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
@@ -51,7 +57,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     """Token pieces of every document: ids of the tokenizer, then the end mark.
 
     The tokenizer drops white space and never joins across it, so chunks between
-    ASCII white space are encoded one by one and remembered.
+    ASCII white space are encoded one by one and remembered. It lower-cases, and
+    parts letters from marks, so "Word," is remembered as "word" and ",".
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,6 +67,13 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         model = Tokenizer.from_file(path or tokenizer_path())
 
         def encode(chunk: bytes) -> bytes:
+            if b"<" not in chunk:
+                low = chunk.translate(_LOWER)
+                parts = _MARKS.fullmatch(low)
+                if parts:
+                    return memory[parts[1]] + memory[parts[2]]
+                if low != chunk:
+                    return memory[low]
             ids = model.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
 
