@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.words import Remembered, texts_of
+from footfall.llm.words import LOWER, texts_of
 from footfall.settings import materialize
 
 CAPACITY = 4096
@@ -36,6 +36,20 @@ PARTITION_PIECES = 40_000
 # Times that open pieces are exchanged at most; each exchange leaves fewer.
 EXCHANGES = 4
 
+# Bytes of text that are encoded at a time, and words remembered per Python worker.
+GROUP_BYTES = 4 << 20
+REMEMBERED = 400_000
+
+# Words of Latin letters in lower case are one unit to the tokenizer.
+_WORD = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
+# A chunk that it parts into a word and the ASCII marks behind it. An apostrophe may
+# begin a contraction, and < a special token.
+_CHUNK = re.compile(rb"(" + _WORD + rb")([!-&(-/:;=-@\[-`{-~]*)")
+
+PIECES = 40_000
+# Times that open pieces are exchanged at most; each exchange leaves fewer.
+EXCHANGES = 4
+
 # A chunk that the tokenizer splits after the letters: ASCII marks follow an ASCII
 # letter. An apostrophe may begin a contraction, and < a special token.
 _MARKS = re.compile(rb"([a-z\x80-\xff]*[a-z])([!-&(-/:;=-@\[-`{-~]+)")
@@ -53,44 +67,103 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Token pieces of every document: ids of the tokenizer, then the end mark.
+class _Encoder:
+    """Ids, as little-endian bytes, of texts; chunks between white space are remembered.
 
-    The tokenizer drops white space and never joins across it, so chunks between
-    ASCII white space are encoded one by one and remembered. It lower-cases, and
-    parts letters from marks, so "Word," is remembered as "word" and ",".
+    The tokenizer drops white space and never joins across it, lower-cases, and
+    parts letters from marks, so "Word," is "word" and ",". Words not yet known
+    are encoded together, without the steps that leave them as they are; the last
+    token of each is one that ends a word.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers import pre_tokenizers as pre
 
-        model = Tokenizer.from_file(path or tokenizer_path())
+        self.model = Tokenizer.from_file(path)
+        self.of_words = Tokenizer(self.model.model)
+        self.of_words.pre_tokenizer = pre.Sequence(
+            [pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.model.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.memory: dict[bytes, bytes] = {}
+
+    def one(self, chunk: bytes) -> bytes:
+        ids = self.model.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remembers words of Latin letters."""
+        if not words:
+            return
+        text = b" ".join(words).decode("utf-8")
+        ids = np.array(self.of_words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):  # not a tokenizer that marks the ends of words
+            self.memory.update((w, self.one(w)) for w in words)
+            return
+        raw, ends = ids.tobytes(), (ends * 4).tolist()
+        self.memory.update((w, raw[s:e]) for w, s, e in zip(words, [0, *ends], ends, strict=False))
+
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        memory = self.memory
+        if len(memory) >= REMEMBERED:
+            memory.clear()
+        chunked = [text.split() for text in texts]
+        parts, words = {}, set()
+        for chunk in set().union(*chunked).difference(memory):
+            found = _CHUNK.fullmatch(chunk.translate(LOWER))
+            parts[chunk] = found
+            if found and found[1] not in memory:
+                words.add(found[1])
+        self.learn(sorted(words))
+        for chunk, found in parts.items():
+            if not found:
+                memory[chunk] = self.one(chunk)
+            elif found[2]:
+                word, marks = found.groups()
+                if marks not in memory:
+                    memory[marks] = self.one(marks)
+                memory[chunk] = memory[word] + memory[marks]
+            else:
+                memory[chunk] = memory[found[1]]
+        return [b"".join(map(memory.__getitem__, chunks)) for chunks in chunked]
+
+
+def _groups(batch: pa.RecordBatch, most: int) -> Iterator[list[tuple]]:
+    """Rows (doc_id, text as bytes) in runs of about ``most`` bytes."""
+    group, size = [], 0
+    for row in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
+        group.append(row)
+        size += len(row[1])
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
-        def encode(chunk: bytes) -> bytes:
-            if b"<" not in chunk:
-                low = chunk.translate(_LOWER)
-                parts = _MARKS.fullmatch(low)
-                if parts:
-                    return memory[parts[1]] + memory[parts[2]]
-                if low != chunk:
-                    return memory[low]
-            ids = model.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
 
-        memory = Remembered(encode)
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+    """Token pieces of every document: ids of the tokenizer, then the end mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(path or tokenizer_path())
         end = np.array([END_ID], "<u4").tobytes()
         step = capacity * 4
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
-                ids = b"".join([memory[c] if len(c) < 100 else encode(c) for c in text.split()]) + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.record_batch(
-                [pa.array(c, f.type) for c, f in zip(columns, _PIECES_ARROW, strict=True)], schema=_PIECES_ARROW
-            )
+            for group in _groups(batch, GROUP_BYTES):
+                rows: list[tuple] = []
+                for (doc_id, _), ids in zip(group, encoder.many([text for _, text in group]), strict=True):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at : at + step]
+                        rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                yield pa.record_batch(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES_ARROW, strict=True)],
+                    schema=_PIECES_ARROW,
+                )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, PIECES)
 
