@@ -133,6 +133,18 @@ def test_pieces_hold_the_tokenizers_ids(documents, corpus):
     )
 
 
+@pytest.mark.parametrize("remembered", [1, packing.REMEMBERED])
+def test_words_encoded_together_keep_their_ids(monkeypatch, remembered):
+    monkeypatch.setattr(packing, "REMEMBERED", remembered)
+    encoder = packing._Encoder(packing.tokenizer_path())
+    pick = np.random.default_rng(3)
+    units = ["canción", "Été,", "straße", "ÿ", "a÷b", "ABC...", "it's", "x<|endoftext|>", "é́t", "日本語", "12a", "!?", "ﬁn", "q" * 300]
+    texts = [" ".join(pick.choice(units, 40)) + "\u00a0" + "".join(pick.choice(list("abçß"), 9)) for _ in range(30)] + ["", " \n"]
+    for group in (texts[:7], texts[7:], texts):
+        for text, ids in zip(group, encoder.many([t.encode() for t in group]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+
+
 def placed_well(rows, capacity):
     by = defaultdict(list)
     for r in rows:
