@@ -46,15 +46,6 @@ _WORD = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
 # begin a contraction, and < a special token.
 _CHUNK = re.compile(rb"(" + _WORD + rb")([!-&(-/:;=-@\[-`{-~]*)")
 
-PIECES = 40_000
-# Times that open pieces are exchanged at most; each exchange leaves fewer.
-EXCHANGES = 4
-
-# A chunk that the tokenizer splits after the letters: ASCII marks follow an ASCII
-# letter. An apostrophe may begin a contraction, and < a special token.
-_MARKS = re.compile(rb"([a-z\x80-\xff]*[a-z])([!-&(-/:;=-@\[-`{-~]+)")
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
