@@ -289,9 +289,9 @@ SELECT strftime(date, {_DAY}) AS date, province, ad_id, click_count FROM (
 ) WHERE rn <= 3"""
 
 
-def _area_top(n: int, level: str) -> str:
+def _area_top(n: int, level: str, area: str = "area", more: str = "") -> str:
     return _BASE + _AREA + f"""
-SELECT area, {level} AS area_level, product_id, city_infos, click_count, product_name, product_status
+SELECT {more}{area} AS area, {level} AS area_level, product_id, city_infos, click_count, product_name, product_status
 FROM ranked_area WHERE rn <= {n}"""
 
 
@@ -300,6 +300,23 @@ def _joined_actions(kind: str) -> str:
 SELECT user_id, action_id, page_id, professional, city FROM uva {kind} ui USING (user_id)"""
 
 
+def _session_job() -> dict[str, str]:
+    """The rows of each table that the session job stores."""
+    task = "CAST(2 AS BIGINT) AS task_id"
+    sampled = _BASE + _SELECTED + _SAMPLE.format(n=3000)
+    detail = f"SELECT {task}, {_DETAIL_COLUMNS} FROM task_act WHERE session_id IN"
+    return {
+        "session_job_session_aggr_stat": f"SELECT {task}, * FROM ({_shares()})",
+        "session_job_session_random_extract": sampled + f"SELECT {task}, {_SAMPLED_COLUMNS} FROM sampled",
+        "session_job_session_detail": sampled + f"{detail} (SELECT session_id FROM sampled)",
+        "session_job_top10_category": _BASE + _DETAIL + f"""
+SELECT {task}, category_id, click_count, order_count, pay_count FROM top_cat""",
+        "session_job_top10_session": _BASE + _DETAIL + f"""
+SELECT {task}, category_id, session_id, click_count FROM top_sess""",
+        "session_job_top10_session_detail": _BASE + _DETAIL + f"{detail} (SELECT session_id FROM top_sess)",
+    }
+
+
 def oracles() -> dict[str, str]:
     sampled = _BASE + _SELECTED + _SAMPLE.format(n=3000)
     pairs = _BASE + _PAIRS + (
@@ -436,6 +453,18 @@ UNION ALL SELECT 'top10_category', count(*) FROM top_cat
 UNION ALL SELECT 'top10_session', count(*) FROM top_sess
 UNION ALL SELECT 'top10_session_detail', count(*) FROM task_act
   WHERE session_id IN (SELECT session_id FROM top_sess)""",
+        **_session_job(),
+        "page_job": _BASE + _PAIRS + """
+SELECT CAST(3 AS BIGINT) AS task_id, string_agg(page_split || '=' || convert_rate, '|' ORDER BY step) AS convert_rate
+FROM rates""",
+        "product_job": _area_top(
+            3,
+            "CASE area WHEN 'AFRICA' THEN 'A level' WHEN 'AMERICA' THEN 'B level' WHEN 'ASIA' THEN 'C level' "
+            "ELSE 'D level' END",
+            "CASE area WHEN 'AFRICA' THEN 'China North' WHEN 'AMERICA' THEN 'China South' "
+            "WHEN 'ASIA' THEN 'West South' ELSE area END",
+            "CAST(4 AS BIGINT) AS task_id, ",
+        ),
         "sink_append_new_keys": black,
         "sink_upsert_increment": daily,
         "sink_upsert_replace": ad_stat,

@@ -17,9 +17,9 @@ from footfall.catalog import views as V
 from footfall.functions import columns as C
 from footfall.functions import sql_names
 from footfall.operators import ads, categories, funnel, products, sampling, sessions, skew
-from footfall.params import JobParams
-from footfall.plans.page_job import page_results
-from footfall.plans.product_job import product_results
+from footfall.params import JobParams, load_params
+from footfall.plans.page_job import page_results, run_page_job
+from footfall.plans.product_job import product_results, run_product_job
 from footfall.plans.session_job import SESSION_RESULTS, run_session_job
 from footfall.settings import scratch_path
 from footfall.sinks.batch_log import BatchLog
@@ -37,6 +37,9 @@ FILTER_TEXT = (
     '{"startAge":["20"],"endAge":["55"],"professsionals":["BUILDING,MACHINERY,HOUSEHOLD"],'
     '"keywords":["kw1,kw2,kw3,kw4"],"categoryIds":[]}'
 )
+FLOW_TEXT = '{"targetPageFlow":["1,2,3,4"]}'
+# Stored tasks: id -> parameters.
+TASKS = {2: TASK_TEXT, 3: FLOW_TEXT, 4: "{}"}
 KEYWORDS = ["kw1", "kw2"]
 CATEGORY_IDS = [3, 5, 8, 13, 21]
 PROFESSIONALS = ["BUILDING", "MACHINERY"]
@@ -47,6 +50,8 @@ THRESHOLD = 2
 HALF = "2024-01-15 12:00:00"
 TREND_END = "2024-01-15 12:00:30"
 SLICES = [(None, "2024-01-11 06:00:00"), ("2024-01-11 06:00:00", "2024-01-21 18:00:00"), ("2024-01-21 18:00:00", None)]
+# Regions under names that have a level by default; the others keep theirs.
+NAMED_AREAS = {"AFRICA": "China North", "AMERICA": "China South", "ASIA": "West South"}
 AREA_LEVELS = {"ASIA": "A level", "EUROPE": "A level", "AMERICA": "B level", "AFRICA": "C level"}
 
 _QUERIES: dict[str, Query] = {}
@@ -499,23 +504,61 @@ def sink_append(spark, sf_dir):
     return spark.read.parquet(path).withColumn("task_id", F.col("task_id").cast("bigint"))
 
 
-@query("session_job")
-def session_job(spark, sf_dir):
-    """Row counts of all tables the session job stores."""
+def _stored_params(spark, root: str, task_id: int) -> JobParams:
+    """A task's parameters from the stored task table."""
+    path = f"{root}/task"
+    stored = [(key, "task", "", "", "", "", "", text) for key, text in TASKS.items()]
+    spark.createDataFrame(stored, schemas.TASK).write.mode("overwrite").parquet(path)
+    return load_params(tables.read_table(spark, path, schema=schemas.TASK), task_id)
+
+
+def _run_session_job(spark, sf_dir) -> dict[str, DataFrame]:
+    """All tables the session job stores for the task."""
     root = scratch_path(spark, "session-job")
-    params = _params()
+    params = _stored_params(spark, root, 2)
     actions = V.user_visit_action(spark, sf_dir, params.start_date, params.end_date)
     run_session_job(actions, V.user_info(spark, sf_dir), params, root, SAMPLE)
+    return {
+        name: read_result(spark, root, name).where(F.col("task_id") == params.task_id) for name in SESSION_RESULTS
+    }
+
+
+@query("session_job")
+def session_job(spark, sf_dir):
+    """Row counts of all tables the session job stores."""
     counts = [
-        read_result(spark, root, name)
-        .where(F.col("task_id") == params.task_id)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count")
-        for name in SESSION_RESULTS
+        rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, rows in _run_session_job(spark, sf_dir).items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+def _stored_by_session_job(name: str) -> Query:
+    return lambda spark, sf_dir: _run_session_job(spark, sf_dir)[name]
+
+
+for _name in SESSION_RESULTS:
+    query(f"session_job_{_name}")(_stored_by_session_job(_name))
+
+
+@query("page_job")
+def page_job(spark, sf_dir):
+    root = scratch_path(spark, "page-job")
+    params = _stored_params(spark, root, 3)
+    run_page_job(V.user_visit_action(spark, sf_dir), params, root, ["action_id"])
+    return read_result(spark, root, "page_split_convert_rate")
+
+
+@query("product_job")
+def product_job(spark, sf_dir):
+    """Top products of areas whose levels are the default ones."""
+    root = scratch_path(spark, "product-job")
+    params = _stored_params(spark, root, 4)
+    cities = V.city_info(spark, sf_dir).replace(NAMED_AREAS, subset=["area"])
+    run_product_job(V.user_visit_action(spark, sf_dir), cities, V.product_info(spark, sf_dir), params, root)
+    return read_result(spark, root, "area_top3_product")
+
+
 def _halves(spark, sf_dir):
     clicks = V.ad_clicks(spark, sf_dir)
     middle = F.lit(HALF).cast("timestamp")
