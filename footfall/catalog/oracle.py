@@ -300,6 +300,16 @@ def _joined_actions(kind: str) -> str:
 SELECT user_id, action_id, page_id, professional, city FROM uva {kind} ui USING (user_id)"""
 
 
+def _sliding(slide: str, back: str, condition: str) -> str:
+    return _BASE + _ADS + f"""
+SELECT strftime(window_start, {_TIME}) AS window_start, ad_id, count(*) AS click_count FROM (
+  SELECT ad_id, unnest(generate_series(
+           time_bucket(INTERVAL {slide}, ts) - INTERVAL {back},
+           time_bucket(INTERVAL {slide}, ts), INTERVAL {slide})) AS window_start
+  FROM clicks WHERE {condition}
+) GROUP BY window_start, ad_id"""
+
+
 def _session_job() -> dict[str, str]:
     """The rows of each table that the session job stores."""
     task = "CAST(2 AS BIGINT) AS task_id"
@@ -326,13 +336,7 @@ def oracles() -> dict[str, str]:
     daily = _BASE + _ADS + f"SELECT {_DAILY_COLUMNS} FROM daily"
     black = _BASE + _ADS + "SELECT user_id FROM black"
     trend = _BASE + _ADS + f"SELECT {_TREND_COLUMNS} FROM trend"
-    sliding = _BASE + _ADS + f"""
-SELECT strftime(window_start, {_TIME}) AS window_start, ad_id, count(*) AS click_count FROM (
-  SELECT ad_id, unnest(generate_series(
-           time_bucket(INTERVAL 10 MINUTE, ts) - INTERVAL 50 MINUTE,
-           time_bucket(INTERVAL 10 MINUTE, ts), INTERVAL 10 MINUTE)) AS window_start
-  FROM clicks
-) GROUP BY window_start, ad_id"""
+    sliding = _sliding("10 MINUTE", "50 MINUTE", "true")
     province_top = _province_top("date, province")
     return {
         "action_range_scan": _BASE + f"""
@@ -432,6 +436,7 @@ SELECT {_TREND_COLUMNS} FROM (
   GROUP BY 1, 2
 )""",
         "ad_click_sliding": sliding,
+        "ad_click_sliding_seconds": _sliding("10 SECOND", "3590 SECOND", "date = DATE '2024-01-15'"),
         "hot_keys": _BASE + """
 SELECT user_id, count(*) AS sampled_rows FROM uva GROUP BY user_id
 ORDER BY sampled_rows DESC, user_id LIMIT 10""",

@@ -452,6 +452,13 @@ def ad_click_sliding(spark, sf_dir):
     return ads.sliding_clicks(V.ad_clicks(spark, sf_dir), 60, 10)
 
 
+@query("ad_click_sliding_seconds")
+def ad_click_sliding_seconds(spark, sf_dir):
+    """An hour every ten seconds, as the ad application sets it, for the clicks of one day."""
+    day = V.ad_clicks(spark, sf_dir).where(F.col("date") == F.lit(TREND_END).cast("date"))
+    return ads.sliding_clicks_seconds(day, 3600, 10)
+
+
 # Skew helpers
 
 

@@ -80,19 +80,24 @@ def click_trend(clicks: DataFrame, as_of=None, minutes: int = TREND_MINUTES) ->
 
 
 def sliding_clicks(clicks: DataFrame, size_minutes: int = 60, slide_minutes: int = 10) -> DataFrame:
-    """Clicks per ad in windows of ``size_minutes`` starting every ``slide_minutes``.
+    """``sliding_clicks_seconds`` with whole minutes."""
+    return sliding_clicks_seconds(clicks, size_minutes * 60, slide_minutes * 60)
+
+
+def sliding_clicks_seconds(clicks: DataFrame, size_seconds: int = 3600, slide_seconds: int = 10) -> DataFrame:
+    """Clicks per ad in windows of ``size_seconds`` starting every ``slide_seconds``.
 
     The size is a multiple of the slide. Clicks are first counted per slide, so
     what is repeated for the overlapping windows are counts, not clicks.
     """
-    if size_minutes % slide_minutes:
+    if slide_seconds <= 0 or size_seconds <= 0 or size_seconds % slide_seconds:
         raise ValueError("the window size must be a multiple of the slide")
     per_slide = clicks.groupBy(
-        F.window("ts", f"{slide_minutes} minutes").alias("slot"), "ad_id"
+        F.window("ts", f"{slide_seconds} seconds").alias("slot"), "ad_id"
     ).agg(F.count(F.lit(1)).alias("clicks"))
-    back = F.explode(F.sequence(F.lit(0), F.lit(size_minutes // slide_minutes - 1)))
+    back = F.explode(F.sequence(F.lit(0), F.lit(size_seconds // slide_seconds - 1)))
     shifted = per_slide.select("slot", "ad_id", "clicks", back.alias("k"))
-    start = F.col("slot.start") - F.make_dt_interval(mins=F.col("k") * slide_minutes)
+    start = F.col("slot.start") - F.make_dt_interval(secs=F.col("k") * slide_seconds)
     return shifted.groupBy(start.alias("window_start"), "ad_id").agg(
         F.sum("clicks").alias("click_count")
     )

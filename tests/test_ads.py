@@ -72,6 +72,18 @@ def test_sliding(spark):
         A.sliding_clicks(few, 25, 10)
 
 
+def test_sliding_seconds(spark):
+    few = clicks(spark, [(0, "p", "c", 1, 1), (1, "p", "c", 1, 1)])
+    got = rows(A.sliding_clicks_seconds(few, 90, 30))
+    at = lambda m, s, d=1, h=0: datetime(2024, 3, d, h, m, s)
+    assert got == [
+        (datetime(2024, 2, 29, 23, 59), 1, 1), (datetime(2024, 2, 29, 23, 59, 30), 1, 1),
+        (at(0, 0), 1, 2), (at(0, 30), 1, 1), (at(1, 0), 1, 1),
+    ]
+    with pytest.raises(ValueError):
+        A.sliding_clicks_seconds(few, 95, 30)
+
+
 LINES = [
     ("1700000000123 Jiangsu Nanjing 17 3",),
     ("1700000000123 Jiangsu Nanjing 17 3 more",),
