@@ -226,7 +226,11 @@ d2 AS (SELECT * FROM d1 UNION ALL
 b2 AS (SELECT DISTINCT user_id FROM (SELECT user_id FROM d2 GROUP BY date, user_id, ad_id HAVING count(*) >= 2)),
 d3 AS (SELECT * FROM d2 UNION ALL
        SELECT date, user_id, ad_id FROM s3 WHERE user_id NOT IN (SELECT user_id FROM b2)),
-kept AS (SELECT date, user_id, ad_id, count(*) AS click_count FROM d3 GROUP BY 1, 2, 3)
+kept AS (SELECT date, user_id, ad_id, count(*) AS click_count FROM d3 GROUP BY 1, 2, 3),
+kept_clicks AS (SELECT * FROM s1
+                UNION ALL SELECT * FROM s2 WHERE user_id NOT IN (SELECT user_id FROM b1)
+                UNION ALL SELECT * FROM s3 WHERE user_id NOT IN (SELECT user_id FROM b2)),
+kept_prov AS (SELECT date, province, ad_id, count(*) AS click_count FROM kept_clicks GROUP BY 1, 2, 3)
 """
 
 _PROFILE_COLUMNS = (
@@ -479,6 +483,13 @@ FROM rates""",
         "stream_ad_province_top": province_top,
         "stream_ad_blacklist": black,
         "stream_ad_filtered": _BASE + _ADS + _SLICES + f"SELECT {_DAILY_COLUMNS} FROM kept",
+        "stream_ad_stat_filtered": _BASE + _ADS + _SLICES + f"""
+SELECT strftime(date, {_DAY}) AS date, province, city, ad_id, count(*) AS click_count FROM kept_clicks
+GROUP BY ALL""",
+        "stream_ad_province_top_filtered": _BASE + _ADS + _SLICES + f"""
+SELECT strftime(date, {_DAY}) AS date, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM kept_prov
+) WHERE rn <= 3""",
         "stream_ad_trend": trend,
         "stream_ad_running_stat": ad_stat,
         "stream_ad_sliding": sliding,

@@ -681,6 +681,16 @@ def stream_ad_filtered(spark, sf_dir):
     return _replay_statistics(spark, sf_dir, THRESHOLD).user_clicks.read(spark)
 
 
+@query("stream_ad_stat_filtered")
+def stream_ad_stat_filtered(spark, sf_dir):
+    return _replay_statistics(spark, sf_dir, THRESHOLD).stat.read(spark)
+
+
+@query("stream_ad_province_top_filtered")
+def stream_ad_province_top_filtered(spark, sf_dir):
+    return _replay_statistics(spark, sf_dir, THRESHOLD).province_top.read(spark)
+
+
 @query("stream_ad_trend")
 def stream_ad_trend(spark, sf_dir):
     return _replay(
