@@ -100,14 +100,17 @@ def frequent_seeds(docs: DataFrame, m: int = SEED, share: float = FREQUENT, chun
     return np.sort(np.array([r.seed for r in rows], np.int64).view(np.uint64))
 
 
-def _first_of_each(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For every edge, the index of its first occurrence: smallest document, then place."""
+def _first_of_each(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every edge, the index of its first occurrence: smallest document, then place; and whether it is
+    another row's copy, of the same document and place."""
     order = np.lexsort((at, doc, key))
     new = np.ones(len(order), bool)
     new[1:] = key[order][1:] != key[order][:-1]
     first = np.empty(len(order), np.int64)
     first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    return first
+    copy = np.zeros(len(order), bool)
+    copy[order[1:]] = ~new[1:] & (doc[order][1:] == doc[order][:-1]) & (at[order][1:] == at[order][:-1])
+    return first, copy
 
 
 def _paths(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
@@ -167,16 +170,17 @@ def _bundles(doc: np.ndarray, at: np.ndarray, edge: np.ndarray, seed: np.ndarray
 
 
 def _sent(docs: DataFrame, k: int, m: int, chunk: int) -> DataFrame:
-    """Bundles of edges; of an edge that repeats within a chunk of a task, one bundle only and paths for the rest."""
+    """Bundles of edges; of an edge in several documents of a task's chunk, those of the first one and paths for the rest."""
     frequent = frequent_seeds(docs, m, chunk=chunk)
 
     def settle(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, at, edge, seed = (np.concatenate(c) for c in zip(*parts, strict=True))
-        first = _first_of_each(edge, doc, at)
+        first, copy = _first_of_each(edge, doc, at)
         repeated = doc[first] < doc
         order = np.flatnonzero(repeated)
         yield _path_batch(*_paths(doc[order], at[order], doc[first][order], at[first][order]))
-        sent = first == np.arange(len(doc))
+        # Every place of the edge in its first document: a smaller one may be in another chunk.
+        sent = ~repeated & ~copy
         yield from _bundles(doc[sent], at[sent], edge[sent], seed[sent])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +225,7 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.repeat(table["doc_id"].to_numpy(), n)
         at = np.repeat(table["at"].to_numpy().astype(np.int64), n)
         at += np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        first = _first_of_each(key, doc, at)
+        first, _ = _first_of_each(key, doc, at)
         found = np.flatnonzero(doc[first] < doc)
         found = found[np.lexsort((at[found], doc[found]))]
         yield _path_batch(*_paths(doc[found], at[found], doc[first][found], at[first][found]))

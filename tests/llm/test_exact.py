@@ -59,6 +59,20 @@ def test_substring_paths_over_many_chunks(documents, corpus, chunk):
     assert {d: len(s) for d, s in removed.items()} == want
 
 
+@pytest.mark.parametrize("chunk", [1, substrings.CHUNK])
+def test_a_passage_twice_in_one_document(documents, chunk):
+    """Both places go when a document with a smaller id, read by another task, has the passage."""
+    passage = " ".join(f"w{i}" for i in range(20))
+    inner = f"{passage} a b c {passage} d"
+    # Two partitions, the greater id in the first one; the row of 10 is there twice.
+    rows = documents([(10, inner), (10, inner), (12, inner)], 1).union(documents([(3, f"x {passage} y")], 1))
+    paths = substrings.compacted(substrings.repeated_spans(rows, chunk=chunk)).collect()
+    got = {(p.doc_id, p.start, p.end, p.source, p.source_start) for p in paths if p.doc_id == 10}
+    assert got == {(10, 0, 20, 3, 1), (10, 23, 43, 3, 1)}
+    removed = rows_of(substrings.without_repeats(rows).select("doc_id", "n_words", "n_removed"))
+    assert removed == [(3, 22, 0), (10, 44, 40), (10, 44, 40), (12, 44, 44)]
+
+
 def test_substrings_of_odd_rows(documents):
     text = " ".join(f"w{i}" for i in range(20))
     odd = documents([(None, text), (2, text), (2, text), (5, text + " end"), (8, None)])
