@@ -54,6 +54,15 @@ def test_one_of_each_group_stays(stages):
     assert dict(texts(kept)) == {d: t for d, t in texts(given) if d in want}
 
 
+def test_near_pairs_at_the_limit_meet_as_in_op3(monkeypatch, spark):
+    """The stage builds as many collections as the operator's own chance of a miss asks for."""
+    asked = []
+    collections_for = P.near_dedup.collections_for
+    monkeypatch.setattr(P.near_dedup, "collections_for", lambda *a: asked.append(collections_for(*a)) or asked[-1])
+    P.drop_near_duplicates(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(5), SF)
+    assert asked == [collections_for(P.NEAR_PERCENT, miss=1e-4)]
+
+
 def test_no_benchmark_passage_is_left(stages, spark):
     given, kept = stages["decontamination"]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
