@@ -1,8 +1,11 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-Every token is predicted from the tokens on both sides of it. The vocabulary is
-the most frequent words of the whole corpus, and buckets for the rest; a token's
-probability is that of its class times that within the class. The network is
+Every token is predicted from the tokens on both sides of it. The network knows
+the most frequent words of the whole corpus, and buckets for the rest; an id's
+probability is that of its class times that within the class. A word of a bucket
+has, besides, its share of the bucket's tokens, from the counts of all words of
+the corpus, which stay a table; words that the corpus does not have count as one
+more token of their bucket. The network is
 trained in numpy on all documents: each task trains a copy on its own documents,
 and the copies are averaged by Spark, weighted by their tokens; training takes
 two such rounds, which share the tokens between them. A document's score is the
@@ -18,9 +21,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +62,34 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
-def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[bytes]:
-    """The most frequent words of all documents, with ties by the word."""
+class Vocabulary(NamedTuple):
+    """The words with an id of their own, by rank; key and count of every other word; the tokens of each bucket."""
+
+    frequent: list[bytes]
+    rest: DataFrame
+    tokens: dict[int, int]
+
+
+def bucket_key(word: bytes) -> int:
+    """A long for a word without an id of its own: its bucket's id in the last ten bits, a hash above."""
+    key = (xxhash.xxh64_intdigest(word) * VOCABULARY + FREQUENT + zlib.crc32(word) % (VOCABULARY - FREQUENT)) % 2**64
+    return key - 2**64 if key >= 2**63 else key
+
+
+def vocabulary(docs: DataFrame, most: int = FREQUENT) -> Vocabulary:
+    """All words of all documents; the most frequent ones with ties by the word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter: Counter = Counter()
 
         def emitted() -> pa.RecordBatch:
             return pa.record_batch(
-                [pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())], names=["word", "n"]
+                [
+                    pa.array(list(counter), pa.binary()),
+                    pa.array(list(counter.values()), pa.int64()),
+                    pa.array(map(bucket_key, counter), pa.int64()),
+                ],
+                names=["word", "n", "key"],
             )
 
         for batch in batches:
@@ -76,9 +100,14 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[bytes]:
                     counter.clear()
         yield emitted()
 
-    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [bytes(r.word) for r in top.collect()]
+    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n long, key long")
+    counts = materialize(counts.groupBy("word", "key").agg(F.sum("n").alias("n")), "words")
+    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    rest = counts.where(~F.col("key").isin([bucket_key(w) for w in top]))
+    rest = rest.groupBy("key").agg(F.sum("n").alias("n"))
+    bucket = F.col("key").bitwiseAND(F.lit(VOCABULARY - 1)).alias("bucket")
+    tokens = rest.groupBy(bucket).agg(F.sum("n").alias("n")).collect()
+    return Vocabulary(top, rest, {r.bucket: r.n for r in tokens})
 
 
 def initial() -> Net:
@@ -90,15 +119,21 @@ def initial() -> Net:
 
 
 class Ids:
-    """Ids of words: the frequent ones by rank, the others by their checksum."""
+    """Keys of words: the rank of the frequent ones, the others' bucket keys. A key's last ten bits are the id."""
 
     def __init__(self, frequent: list[bytes]):
         rank = {w: i for i, w in enumerate(frequent)}
-        rest = VOCABULARY - FREQUENT
-        self.memory = Remembered(lambda w: rank[w] if w in rank else FREQUENT + zlib.crc32(w) % rest)
+        self.memory = Remembered(lambda w: rank[w] if w in rank else bucket_key(w))
 
     def padded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with padding around each, the places of the tokens, and each token's text."""
+        keys, places, owners = self.keyed(texts)
+        ids = np.full(len(keys), PAD, np.int64)
+        ids[places] = keys[places] & (VOCABULARY - 1)
+        return ids, places, owners
+
+    def keyed(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same with the words' keys for their ids."""
         ids, places, owners = [np.full(SIDE, PAD, np.int64)], [], []
         at = SIDE
         for k, text in enumerate(texts):
@@ -241,36 +276,101 @@ def _round(texts: DataFrame, net: Net, frequent: list[bytes], number: int, round
     return _shaped(values)
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Net, list[bytes]]:
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Net, Vocabulary]:
     texts = docs.select(F.col("text").cast("binary").alias("text"))
-    frequent = frequent_words(docs)
+    known = vocabulary(docs)
     net = initial()
     for number in range(rounds):
-        net = _round(texts, net, frequent, number, rounds)
-    return net, frequent
+        net = _round(texts, net, known.frequent, number, rounds)
+    return net, known
+
+
+_PARTS = pa.schema(
+    [
+        ("row", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("value", pa.float64()),
+        ("key", pa.int64()),
+        ("n", pa.int64()),
+    ]
+)
 
 
-def scored(docs: DataFrame, net: Net, frequent: list[bytes]) -> DataFrame:
+def scored(docs: DataFrame, net: Net, known: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, log_likelihood, mean_log_likelihood of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast((_flat(net), frequent))
+    totals = np.zeros(VOCABULARY, np.int64)
+    for bucket, n in known.tokens.items():
+        totals[bucket] = n
+    # Every bucket has one token more, for the words that the corpus does not have.
+    sent = docs.sparkSession.sparkContext.broadcast((_flat(net), known.frequent, np.log(totals + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, words = sent.value
-        ids_of, own = Ids(words), _shaped(values)
+        values, words, buckets = sent.value
+        keys_of, own = Ids(words), _shaped(values)
         for batch in batches:
             n = batch.num_rows
-            ids, places, owners = ids_of.padded(texts_of(batch, "text"))
+            keys, places, owners = keys_of.keyed(texts_of(batch, "text"))
+            ids = np.full(len(keys), PAD, np.int64)
+            ids[places] = keys[places] & (VOCABULARY - 1)
             value = log_probabilities(own, ids, places)
+            rare = ids[places] >= FREQUENT
+            value = value.astype(np.float64)
+            value[rare] -= buckets[ids[places][rare]]
             tokens = np.bincount(owners, minlength=n)
-            total = np.bincount(owners, value, n)
-            mean = pa.array(total / np.maximum(tokens, 1), mask=tokens == 0)
+            rows = batch.column(0).to_numpy()
             yield pa.record_batch(
-                [batch.column(0), pa.array(tokens.astype(np.int64)), pa.array(total), mean],
-                names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+                [
+                    batch.column(0), batch.column(1), pa.array(tokens.astype(np.int64)),
+                    pa.array(np.bincount(owners, value, n)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                ],
+                schema=_PARTS,
+            )
+            # A row for each of a document's words whose count is still to come.
+            key, owner = keys[places][rare], owners[rare]
+            order = np.lexsort((key, owner))
+            key, owner = key[order], owner[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+            starts = np.flatnonzero(new)
+            m = len(starts)
+            yield pa.record_batch(
+                [
+                    pa.array(rows[owner[starts]], pa.int64()), pa.nulls(m, pa.int64()), pa.array(np.zeros(m, np.int64)),
+                    pa.array(np.zeros(m)), pa.array(key[starts]), pa.array(np.diff(np.append(starts, len(key)))),
+                ],
+                schema=_PARTS,
+            )
+
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")
+    )
+    # Written once, so that a row has one number.
+    parts = materialize(
+        texts.mapInArrow(run, "row long, doc_id long, n_tokens long, value double, key long, n long"), "scored"
+    )
+    counts = known.rest.select("key", F.log("n").alias("log_n"))
+    words = parts.where("key is not null").select("row", "key", "n").join(counts, "key", "left")
+    words = words.select(
+        "row",
+        F.lit(None).cast("long").alias("doc_id"),
+        F.lit(0).cast("long").alias("n_tokens"),
+        (F.col("n") * F.coalesce("log_n", F.lit(0.0))).alias("value"),
+    )
+    return (
+        parts.where("key is null")
+        .select("row", "doc_id", "n_tokens", "value")
+        .unionByName(words)
+        .groupBy("row")
+        .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("value").alias("log_likelihood"))
+        # In the order of the input.
+        .orderBy("row")
+        .select(
+            "doc_id",
+            "n_tokens",
+            "log_likelihood",
+            F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"),
+        )
     )
 
 

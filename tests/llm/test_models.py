@@ -165,6 +165,27 @@ def test_language_model_prefers_order(spark, documents):
     assert lm_score.pseudo_likelihood(docs.limit(0)).collect() == []
 
 
+def test_a_rare_word_scores_by_its_share_of_its_bucket(documents):
+    """Words of one bucket are told apart, also from words that the corpus does not have."""
+    bucket = lm_score.bucket_key(b"real") % lm_score.VOCABULARY
+    same = (w for w in (f"x{i}" for i in range(9999)) if lm_score.bucket_key(w.encode()) % lm_score.VOCABULARY == bucket)
+    once, never = next(same), next(same)
+    often = [f"t{i}" for i in range(lm_score.FREQUENT)]
+    rows = [(i, " ".join(often)) for i in range(9)] + [(20 + i, "real") for i in range(7)] + [(30, once)]
+    known = lm_score.vocabulary(documents(rows))
+    assert known.tokens == {bucket: 8} and known.rest.count() == 2
+    asked = [(1, "real"), (2, once), (3, never), (None, "real"), (None, once)]
+    got = [(x.doc_id, x.log_likelihood) for x in lm_score.scored(documents(asked), lm_score.initial(), known).collect()]
+    one = dict(got)
+    assert one[1] - one[2] == pytest.approx(np.log(7), abs=1e-4)
+    assert one[2] == pytest.approx(one[3], abs=1e-4)
+    assert sorted(v for d, v in got if d is None) == pytest.approx([one[2], one[1]], abs=1e-4)
+    # A bucket's shares and that of unseen words sum to 1: 7, 1 and 1 of 9.
+    ids = np.array([lm_score.PAD] * 2 + [bucket] + [lm_score.PAD] * 2)
+    inner = lm_score.log_probabilities(lm_score.initial(), ids, np.array([2]))[0]
+    assert one[1] == pytest.approx(inner + np.log(7 / 9), abs=1e-4)
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
