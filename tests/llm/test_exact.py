@@ -61,10 +61,10 @@ def test_substring_paths_over_many_chunks(documents, corpus, chunk):
 
 @pytest.mark.parametrize("chunk", [1, substrings.CHUNK])
 def test_a_passage_twice_in_one_document(documents, chunk):
-    """Both places go when a document with a smaller id, read by another task, has the passage."""
+    """Both places go when a document with a smaller id has the passage, in another chunk or the same one."""
     passage = " ".join(f"w{i}" for i in range(20))
     inner = f"{passage} a b c {passage} d"
-    # Two partitions, the greater id in the first one; the row of 10 is there twice.
+    # The row of 10 is there twice.
     rows = documents([(10, inner), (10, inner), (12, inner)], 1).union(documents([(3, f"x {passage} y")], 1))
     paths = substrings.compacted(substrings.repeated_spans(rows, chunk=chunk)).collect()
     got = {(p.doc_id, p.start, p.end, p.source, p.source_start) for p in paths if p.doc_id == 10}
