@@ -16,6 +16,7 @@ from footfall.llm import (
     pii,
     quality,
     sharding,
+    simhash,
     substrings,
     toxicity,
 )
@@ -74,6 +75,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", hexadecimal, "component_id")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -88,5 +95,6 @@ def llm_queries() -> dict[str, Query]:
             op8_sharding,
             op9_pii,
             op10_quality_rules,
+            op13_simhash_near_dedup,
         )
     }

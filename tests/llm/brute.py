@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 NORMAL = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -146,3 +148,34 @@ def quality(rows):
         symbols = len(re.findall(r"[#*$%&|<>]", text))
         out.append((d, len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(repeated), failed))
     return out
+
+
+class Groups:
+    """Connected components, named by their smallest member."""
+
+    def __init__(self, nodes):
+        self.parent = {x: x for x in nodes}
+
+    def root(self, x):
+        while self.parent[x] != x:
+            x = self.parent[x]
+        return x
+
+    def join(self, x, y):
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+
+
+def simhash(rows, k=3, budget=3):
+    prints = {}
+    for doc_id, text in rows:
+        w = WORD.findall(lower(text))
+        grams = [" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))] if w else []
+        hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        prints[doc_id] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    groups = Groups(prints)
+    for a, x in prints.items():
+        for b, y in prints.items():
+            if (x ^ y).bit_count() <= budget:
+                groups.join(a, b)
+    return [(d, bits, groups.root(d)) for d, bits in prints.items()]
