@@ -72,10 +72,69 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same,
+         list_dot_product(a.e, v.e)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+_LETTERS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, {_LETTERS}) AS ws
+  FROM documents
+), t AS (SELECT id, lang, source, unnest(ws) AS w FROM d
+), k AS (SELECT lang, w, count(*) AS total FROM t GROUP BY lang, w HAVING count(DISTINCT id) >= 10
+), c AS (SELECT lang, source, w, count(*) AS c FROM t JOIN k USING (lang, w) GROUP BY ALL
+), g AS (SELECT DISTINCT lang, source FROM d
+), lv AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS n FROM k GROUP BY lang
+), n AS (SELECT lang, source, sum(c)::BIGINT AS n FROM c GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, k.w, coalesce(c.c, 0) AS c,
+         (1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 2)) // (coalesce(n.n, 0) + 2 * lv.v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (k.total + 2)) // (lv.n + 2 * lv.v))::BIGINT AS q
+  FROM g JOIN k USING (lang) JOIN lv USING (lang) LEFT JOIN n USING (lang, source)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.w = k.w
+), pairs AS (
+  SELECT g.lang, g.source, o.source AS item,
+         coalesce(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)), 0)::BIGINT AS value
+  FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+  LEFT JOIN p a ON a.lang = g.lang AND a.source = g.source
+  LEFT JOIN p b ON b.lang = g.lang AND b.source = o.source AND b.w = a.w
+  GROUP BY ALL
+), terms AS (
+  SELECT lang, source, w AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' FROM terms
+)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
         "op3_minhash_near_dedup": NEAR,
         "op4_substring_dedup": SUBSTRING,
         "op6_benchmark_decontamination": BENCHMARK,
+        "op11_hard_negatives": NEGATIVES,
+        "op12_source_divergence_audit": DIVERGENCE,
     }

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from footfall.llm import (
     decontaminate,
+    divergence,
     html_text,
     lm_score,
     near_dedup,
+    negatives,
     packing,
     pii,
     quality,
@@ -75,6 +77,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), shifted.alias("label"), negatives.quantized(F.col("embedding")).alias("vector")
+    )
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
+
+
+def op12_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
@@ -95,6 +109,8 @@ def llm_queries() -> dict[str, Query]:
             op8_sharding,
             op9_pii,
             op10_quality_rules,
+            op11_hard_negatives,
+            op12_source_divergence_audit,
             op13_simhash_near_dedup,
         )
     }

@@ -215,7 +215,7 @@ def _differing(depth: Column) -> Column:
 
 def _subtree_pairs(spark: SparkSession, split: list[DataFrame], budget: int) -> DataFrame:
     """Pairs of small subtrees (p, q: node, depth) within the budget, with the levels both have and the errors there."""
-    pairs = spark.range(1).select(F.struct(F.lit(0).cast("long").alias("node"), F.lit(0).alias("depth")).alias("p"))
+    pairs = spark.range(1).select(F.struct(F.col("id").alias("node"), F.lit(0).alias("depth")).alias("p"))
     pairs = pairs.withColumn("q", F.col("p"))
     common = F.least("p.depth", "q.depth")
     for number, children in enumerate(split, 1):

@@ -179,3 +179,46 @@ def simhash(rows, k=3, budget=3):
             if (x ^ y).bit_count() <= budget:
                 groups.join(a, b)
     return [(d, bits, groups.root(d)) for d, bits in prints.items()]
+
+
+def hard_negatives(rows, positives=5, negatives=3, low=50, high=95):
+    out = []
+    for k, (anchor, label, vector) in enumerate(rows):
+        if anchor % 5:
+            continue
+        scores = [(-sum(x * y for x, y in zip(vector, v, strict=True)), i, other) for n, (i, other, v) in enumerate(rows) if n != k]
+        scores.sort(key=lambda s: s[:2])
+        for ps, positive, _ in [s for s in scores if s[2] == label][:positives]:
+            inside = [s for s in scores if s[2] != label and low * ps >= 100 * s[0] >= high * ps][:negatives]
+            out += [(anchor, positive, r, i, -ps, -s) for r, (s, i, _) in enumerate(inside, 1)]
+    return sorted(out)
+
+
+LETTERS = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def audit(rows, least=10, top=10):
+    named = [(LETTERS.findall(lower(text)), lang or "", source or "") for text, lang, source in rows]
+    out = []
+    for lang in {x[1] for x in named}:
+        documents = Counter(w for ws, x, _ in named if x == lang for w in set(ws))
+        kept = sorted(w for w, n in documents.items() if n >= least)
+        groups = {s: Counter() for _, x, s in named if x == lang}
+        whole = Counter()
+        for ws, x, s in named:
+            if x == lang:
+                groups[s].update(w for w in ws if w in set(kept))
+                whole.update(w for w in ws if w in set(kept))
+
+        def shares(counts, kept=kept):
+            below = counts.total() + 2 * len(kept)
+            return {w: 1 + 10**9 * (counts[w] + 2) // below for w in kept}
+
+        apart = lambda p, q: (p - q) ** 2 // (p + q)
+        p, q = {s: shares(c) for s, c in groups.items()}, shares(whole)
+        for s in groups:
+            pairs = sorted((-sum(apart(p[s][w], p[o][w]) for w in kept), o) for o in groups if o != s)
+            terms = sorted((-apart(p[s][w], q[w]), w.encode()) for w in kept if groups[s][w] and p[s][w] > q[w])
+            out += [(lang, s, "pair", r, o, -v) for r, (v, o) in enumerate(pairs, 1)]
+            out += [(lang, s, "term", r, w.decode(), -v) for r, (v, w) in enumerate(terms[:top], 1)]
+    return sorted(out)
