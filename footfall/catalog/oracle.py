@@ -440,7 +440,7 @@ SELECT {_TREND_COLUMNS} FROM (
   GROUP BY 1, 2
 )""",
         "ad_click_sliding": sliding,
-        "ad_click_sliding_seconds": _sliding("10 SECOND", "3590 SECOND", "date = DATE '2024-01-15'"),
+        "ad_click_sliding_seconds": _sliding("10 SECOND", "3590 SECOND", "true"),
         "hot_keys": _BASE + """
 SELECT user_id, count(*) AS sampled_rows FROM uva GROUP BY user_id
 ORDER BY sampled_rows DESC, user_id LIMIT 10""",
@@ -493,4 +493,27 @@ SELECT strftime(date, {_DAY}) AS date, province, ad_id, click_count FROM (
         "stream_ad_trend": trend,
         "stream_ad_running_stat": ad_stat,
         "stream_ad_sliding": sliding,
+        "stream_ad_sliding_seconds": _BASE + _ADS + f"""
+SELECT strftime(CAST(window_start AS DATE), {_DAY}) AS date, ad_id, count(*) AS window_count,
+       sum(n)::BIGINT AS click_count, max(n) AS most_clicks
+FROM (
+  SELECT window_start, ad_id, count(*) AS n FROM (
+    SELECT ad_id, unnest(generate_series(time_bucket(INTERVAL 10 SECOND, ts) - INTERVAL 3590 SECOND,
+                                         time_bucket(INTERVAL 10 SECOND, ts), INTERVAL 10 SECOND)) AS window_start
+    FROM clicks
+  ) WHERE window_start <= (SELECT max(ts) - INTERVAL 2 HOUR FROM clicks) GROUP BY ALL
+) GROUP BY ALL""",
+        "stream_ad_late": _BASE + _ADS + """, landed AS (
+  SELECT ts, ts >= TIMESTAMP '2024-01-11 06:00:00' AND ts < TIMESTAMP '2024-01-15 12:00:30' AS early FROM clicks
+), closed AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM landed WHERE early
+), judged AS (
+  SELECT early, NOT early AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= mark AS late FROM landed, closed
+)
+SELECT count(*) AS clicks, count(*) FILTER (WHERE NOT late) AS counted, count(*) FILTER (WHERE late) AS late
+FROM judged GROUP BY early""",
+        "stream_ad_application": _BASE + _ADS + _SLICES + f"""
+SELECT 'ad_stat' AS table_name, strftime(date, {_DAY}) AS date, province, city, NULL AS hour, NULL AS minute, ad_id,
+       count(*) AS click_count FROM kept_clicks GROUP BY ALL
+UNION ALL
+SELECT 'ad_click_trend', date, NULL, NULL, hour, minute, ad_id, click_count FROM (SELECT {_TREND_COLUMNS} FROM trend)""",
     }

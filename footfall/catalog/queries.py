@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,8 @@ from footfall.params import JobParams, load_params
 from footfall.plans.page_job import page_results, run_page_job
 from footfall.plans.product_job import product_results, run_product_job
 from footfall.plans.session_job import SESSION_RESULTS, run_session_job
-from footfall.settings import scratch_path
-from footfall.sinks.batch_log import BatchLog
+from footfall.settings import materialize, scratch_path
+from footfall.sinks.keyed_table import KeyedTable
 from footfall.sinks.results import append_result, read_result
 from footfall.sources import ad_log, tables
 from footfall.streaming import ad_stream
@@ -223,16 +224,20 @@ def sample_quota(spark, sf_dir):
     return sampling.sample_quota(sampling.sessions_per_hour(_selected(spark, sf_dir)), SAMPLE)
 
 
+def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample, from stored sessions, and stored itself."""
+    selected = materialize(_selected(spark, sf_dir), "sessions")
+    return materialize(sampling.sample_sessions(selected, SAMPLE), "sample")
+
+
 @query("sample_sessions")
 def sample_sessions(spark, sf_dir):
-    sampled = sampling.sample_sessions(_selected(spark, sf_dir), SAMPLE)
-    return sampling.sampled_session_records(sampled, _task_actions(spark, sf_dir))
+    return sampling.sampled_session_records(_sampled(spark, sf_dir), _task_actions(spark, sf_dir))
 
 
 @query("sampled_session_detail")
 def sampled_session_detail(spark, sf_dir):
-    sampled = sampling.sample_sessions(_selected(spark, sf_dir), SAMPLE)
-    return sessions.detail_of_few(_task_actions(spark, sf_dir), sampled)
+    return sessions.detail_of_few(_task_actions(spark, sf_dir), _sampled(spark, sf_dir))
 
 
 # Categories
@@ -270,7 +275,7 @@ def session_category_clicks(spark, sf_dir):
 
 @query("top_sessions_per_category")
 def top_sessions_per_category(spark, sf_dir):
-    activity = _activity(spark, sf_dir)
+    activity = materialize(_activity(spark, sf_dir), "activity")
     return categories.top_sessions_per_category(activity, categories.top_categories(activity))
 
 
@@ -281,9 +286,8 @@ def top_sessions_all_categories(spark, sf_dir):
 
 @query("top_session_detail")
 def top_session_detail(spark, sf_dir):
-    return sessions.detail_of_few(
-        _task_actions(spark, sf_dir), top_sessions_per_category(spark, sf_dir)
-    )
+    top = materialize(top_sessions_per_category(spark, sf_dir), "top-sessions")
+    return sessions.detail_of_few(_task_actions(spark, sf_dir), top)
 
 
 # Funnel
@@ -298,9 +302,9 @@ def page_pair_counts(spark, sf_dir):
 
 @query("page_pair_counts_by_range")
 def page_pair_counts_by_range(spark, sf_dir):
-    """Every session of 3 or more actions treated as a huge one."""
+    """Sessions cut into cells of ten minutes."""
     return funnel.page_pair_counts(
-        V.user_visit_action(spark, sf_dir), FLOW, sequence=["action_id"], ranges=16
+        V.user_visit_action(spark, sf_dir), FLOW, sequence=["action_id"], cell_seconds=600
     )
 
 
@@ -382,7 +386,7 @@ def sql_functions(spark, sf_dir):
 
 @query("ad_log_parse")
 def ad_log_parse(spark, sf_dir):
-    clicks = ad_log.parse_ad_log(ad_log.to_log_lines(V.ad_clicks(spark, sf_dir)))
+    clicks = ad_log.parse_ad_log(V.to_log_lines(V.ad_clicks(spark, sf_dir)))
     return clicks.select(
         F.unix_millis("ts").alias("millis"),
         C.date_key(F.col("ts")).alias("date_key"),
@@ -454,9 +458,8 @@ def ad_click_sliding(spark, sf_dir):
 
 @query("ad_click_sliding_seconds")
 def ad_click_sliding_seconds(spark, sf_dir):
-    """An hour every ten seconds, as the ad application sets it, for the clicks of one day."""
-    day = V.ad_clicks(spark, sf_dir).where(F.col("date") == F.lit(TREND_END).cast("date"))
-    return ads.sliding_clicks_seconds(day, 3600, 10)
+    """An hour every ten seconds, as the ad application sets it."""
+    return ads.sliding_clicks_seconds(V.ad_clicks(spark, sf_dir), 3600, 10)
 
 
 # Skew helpers
@@ -507,8 +510,8 @@ def sink_append(spark, sf_dir):
     named = area_product_named(spark, sf_dir)
     append_result(clicks, root, "area_product", 1)
     for _ in range(2):
-        path = append_result(named.select(*clicks.columns), root, "area_product", 2)
-    return spark.read.parquet(path).withColumn("task_id", F.col("task_id").cast("bigint"))
+        append_result(named.select(*clicks.columns), root, "area_product", 2)
+    return read_result(spark, root, "area_product", clicks.schema)
 
 
 def _stored_params(spark, root: str, task_id: int) -> JobParams:
@@ -526,7 +529,7 @@ def _run_session_job(spark, sf_dir) -> dict[str, DataFrame]:
     actions = V.user_visit_action(spark, sf_dir, params.start_date, params.end_date)
     run_session_job(actions, V.user_info(spark, sf_dir), params, root, SAMPLE)
     return {
-        name: read_result(spark, root, name).where(F.col("task_id") == params.task_id) for name in SESSION_RESULTS
+        name: read_result(spark, root, name, task_id=params.task_id) for name in SESSION_RESULTS
     }
 
 
@@ -575,52 +578,45 @@ def _halves(spark, sf_dir):
 @query("sink_append_new_keys")
 def sink_append_new_keys(spark, sf_dir):
     whole, first, _ = _halves(spark, sf_dir)
-    log = BatchLog(scratch_path(spark, "new-keys"), schemas.AD_BLACKLIST, "new_keys", ["user_id"])
+    table = KeyedTable(scratch_path(spark, "new-keys"), schemas.AD_BLACKLIST, "new_keys", ["user_id"])
     for batch_id, clicks in enumerate([first, whole]):
-        log.write(batch_id, ads.blacklisted_users(ads.user_daily_clicks(clicks), THRESHOLD))
-    return log.read(spark)
+        table.upsert(batch_id, ads.blacklisted_users(ads.user_daily_clicks(clicks), THRESHOLD))
+    return table.read(spark)
 
 
 @query("sink_upsert_increment")
 def sink_upsert_increment(spark, sf_dir):
+    """Both halves of the log, the second one twice."""
     _, first, second = _halves(spark, sf_dir)
-    log = BatchLog(
-        scratch_path(spark, "increment"),
-        schemas.AD_USER_CLICK_COUNT,
-        "increment",
-        ["date", "user_id", "ad_id"],
-        split_by="date",
+    keys = ["date", "user_id", "ad_id"]
+    table = KeyedTable(
+        scratch_path(spark, "increment"), schemas.AD_USER_CLICK_COUNT, "increment", keys, split_by="date"
     )
     for batch_id, clicks in [(0, first), (1, second), (1, second)]:
-        log.write(batch_id, ads.user_daily_clicks(clicks))
-    return log.read(spark)
+        table.upsert(batch_id, ads.user_daily_clicks(clicks))
+    return table.read(spark)
 
 
 @query("sink_upsert_replace")
 def sink_upsert_replace(spark, sf_dir):
     whole, first, second = _halves(spark, sf_dir)
     keys = ["date", "province", "city", "ad_id"]
-    log = BatchLog(
-        scratch_path(spark, "replace"), schemas.AD_STAT, "replace", keys, split_by="date"
-    )
-    log.write(0, ads.ad_stat(first))
+    table = KeyedTable(scratch_path(spark, "replace"), schemas.AD_STAT, "replace", keys, split_by="date")
+    table.upsert(0, ads.ad_stat(first))
     changed = ads.ad_stat(second).select(*keys)
-    log.write(1, ads.ad_stat(whole).join(changed, keys, "left_semi"))
-    return log.read(spark)
+    table.upsert(1, ads.ad_stat(whole).join(changed, keys, "left_semi"))
+    return table.read(spark)
 
 
 @query("sink_replace_group")
 def sink_replace_group(spark, sf_dir):
     whole, first, second = _halves(spark, sf_dir)
     group = ["date", "province"]
-    log = BatchLog(
-        scratch_path(spark, "group"), schemas.AD_PROVINCE_TOP3, "replace_group", group, "date"
-    )
-    log.write(0, ads.province_top_ads(ads.ad_stat(first)))
+    table = KeyedTable(scratch_path(spark, "group"), schemas.AD_PROVINCE_TOP3, "replace_group", group, "date")
+    table.upsert(0, ads.province_top_ads(ads.ad_stat(first)))
     changed = second.select(*group).distinct()
-    log.write(1, ads.province_top_ads(ads.ad_stat(whole)).join(changed, group, "left_semi"))
-    log.compact(spark, 1)
-    return log.read(spark)
+    table.upsert(1, ads.province_top_ads(ads.ad_stat(whole)).join(changed, group, "left_semi"))
+    return table.read(spark)
 
 
 # Streams: the click log lands slice by slice, and after each landing the query
@@ -629,20 +625,24 @@ def sink_replace_group(spark, sf_dir):
 ONCE = {"availableNow": True}
 
 
-def _replay(spark, sf_dir, start) -> ad_stream.AdTables:
+def _between(low: str | None, high: str | None):
+    """Whether a click lies in the slice."""
+    at = F.col("ts")
+    after = F.lit(True) if low is None else at >= F.lit(low).cast("timestamp")
+    return after if high is None else after & (at < F.lit(high).cast("timestamp"))
+
+
+def _replay(spark, sf_dir, run, slices=None, tables=ad_stream.AdTables) -> ad_stream.AdTables:
+    """The tables after ``run`` has taken in one slice of the log after the other."""
     root = scratch_path(spark, "ad-stream")
     landing = f"{root}/log"
     clicks = V.ad_clicks(spark, sf_dir)
-    out = ad_stream.AdTables(f"{root}/tables")
-    for low, high in SLICES:
-        piece = clicks
-        if low is not None:
-            piece = piece.where(F.col("ts") >= F.lit(low).cast("timestamp"))
-        if high is not None:
-            piece = piece.where(F.col("ts") < F.lit(high).cast("timestamp"))
-        ad_log.to_log_lines(piece).write.mode("append").text(landing)
-        running = start(ad_log.file_lines(spark, landing), out, f"{root}/checkpoint")
-        running.awaitTermination()
+    out = tables(f"{root}/tables")
+    for piece in slices or [_between(*bounds) for bounds in SLICES]:
+        V.to_log_lines(clicks.where(piece)).write.mode("append").text(landing)
+        running = run(ad_log.file_lines(spark, landing), out, f"{root}/checkpoint")
+        if running is not None:
+            running.awaitTermination()
     return out
 
 
@@ -651,7 +651,7 @@ def _replay_statistics(spark, sf_dir, threshold):
         spark,
         sf_dir,
         lambda lines, out, checkpoint: ad_stream.start_statistics(
-            lines, out, checkpoint, threshold, compact_every=2, trigger=ONCE
+            lines, out, checkpoint, threshold, forget_hours=None, trigger=ONCE
         ),
     )
 
@@ -700,11 +700,63 @@ def stream_ad_trend(spark, sf_dir):
     ).trend.read(spark)
 
 
+@query("stream_ad_late")
+def stream_ad_late(spark, sf_dir):
+    """The trend's landings: their clicks, those it counted and those that came too late.
+
+    The days around the middle of the month land first, so the earlier days are late.
+    """
+    middle = _between(SLICES[1][0], TREND_END)
+
+    def run(lines, out, checkpoint):
+        trend = ad_stream.start_trend(lines, out, checkpoint, trigger=ONCE)
+        trend.awaitTermination()
+        ad_stream.record_seen(spark, trend, out)
+
+    out = _replay(spark, sf_dir, run, [middle, ~middle])
+    return ad_stream.late_clicks(spark, out).where("clicks > 0").select("clicks", "counted", "late")
+
+
+class _BrokenOff(ad_stream.AdTables):
+    """Tables of an application whose queries both fail once, in the middle of a batch."""
+
+    failures: ClassVar[dict[str, set[str]]] = {}
+
+    def _failing(self, name: str, table: KeyedTable) -> KeyedTable:
+        failed = self.failures.setdefault(self.root, set())
+        if name not in failed:
+            failed.add(name)
+            raise RuntimeError(f"{name} is out of reach")
+        return table
+
+    @property
+    def province_clicks(self) -> KeyedTable:
+        return self._failing("province_clicks", super().province_clicks)
+
+    @property
+    def trend(self) -> KeyedTable:
+        return self._failing("trend", super().trend)
+
+
+@query("stream_ad_application")
+def stream_ad_application(spark, sf_dir):
+    """Statistics and trend of the whole application, whose queries were started again after a failure."""
+
+    def run(lines, out, checkpoint):
+        ad_stream.serve_ad_stream(lines, out, checkpoint, trigger=ONCE, threshold=THRESHOLD, forget_hours=None)
+
+    out = _replay(spark, sf_dir, run, tables=_BrokenOff)
+    columns = ["table_name", "date", "province", "city", "hour", "minute", "ad_id", "click_count"]
+    stat = out.stat.read(spark).withColumn("table_name", F.lit("ad_stat"))
+    trend = out.trend.read(spark).withColumn("table_name", F.lit("ad_click_trend"))
+    return stat.unionByName(trend, allowMissingColumns=True).select(*columns)
+
+
 @query("stream_ad_running_stat")
 def stream_ad_running_stat(spark, sf_dir):
     def start(lines, out, checkpoint):
         counts = ad_stream.running_stat(ad_log.parse_ad_log(lines))
-        return ad_stream.start_update(counts, out.running_stat, checkpoint, trigger=ONCE)
+        return ad_stream.start_update(counts, out.running_stat.upsert, checkpoint, trigger=ONCE)
 
     return _replay(spark, sf_dir, start).running_stat.read(spark)
 
@@ -718,14 +770,28 @@ _SLIDING = schemas.StructType(
 )
 
 
-@query("stream_ad_sliding")
-def stream_ad_sliding(spark, sf_dir):
-    path = scratch_path(spark, "sliding")
-    log = BatchLog(path, _SLIDING, "replace", ["window_start", "ad_id"])
+def _replay_windows(spark, sf_dir, counted, rule: str, mode: str) -> DataFrame:
+    table = KeyedTable(scratch_path(spark, "sliding"), _SLIDING, rule, ["window_start", "ad_id"])
 
     def start(lines, out, checkpoint):
-        counts = ad_stream.hopping_counts(ad_log.parse_ad_log(lines))
-        return ad_stream.start_update(counts, log, checkpoint, trigger=ONCE)
+        counts = counted(ad_log.parse_ad_log(lines))
+        return ad_stream.start_update(counts, table.upsert, checkpoint, mode, trigger=ONCE)
 
     _replay(spark, sf_dir, start)
-    return log.read(spark)
+    return table.read(spark)
+
+
+@query("stream_ad_sliding")
+def stream_ad_sliding(spark, sf_dir):
+    return _replay_windows(spark, sf_dir, ad_stream.hopping_counts, "replace", "update")
+
+
+@query("stream_ad_sliding_seconds")
+def stream_ad_sliding_seconds(spark, sf_dir):
+    """An hour every ten seconds: the closed windows of each ad and day, and their clicks."""
+    windows = _replay_windows(spark, sf_dir, ad_stream.sliding_counts, "new_keys", "append")
+    return windows.groupBy(F.to_date("window_start").alias("date"), "ad_id").agg(
+        F.count(F.lit(1)).alias("window_count"),
+        F.sum("click_count").alias("click_count"),
+        F.max("click_count").alias("most_clicks"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 N_CITIES = 25
@@ -122,3 +122,21 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "ad_id",
     )
+
+
+def to_log_lines(clicks: DataFrame) -> DataFrame:
+    """Clicks written as log lines; blanks inside names become underscores."""
+
+    def word(name: str) -> Column:
+        return F.translate(F.col(name), " ", "_")
+
+    return clicks.select(
+        F.concat_ws(
+            " ",
+            F.unix_millis("ts").cast("string"),
+            word("province"),
+            word("city"),
+            F.col("user_id").cast("string"),
+            F.col("ad_id").cast("string"),
+        ).alias("value")
+    )

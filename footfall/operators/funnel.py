@@ -8,126 +8,81 @@ from pyspark.sql import functions as F
 from footfall.functions import columns as C
 
 START = "start"
+# Length of the cells of time that sessions are cut into.
+CELL_SECONDS = 3_600
 
 
-def flow_splits(flow: list[int]) -> list[str]:
-    """The page splits of a flow, such as ``1_2`` and ``2_3`` for 1, 2, 3."""
-    return [f"{a}_{b}" for a, b in zip(flow, flow[1:])]
-
+def _names(splits: list[tuple[int, int]]) -> list[str]:
+    return [f"{a}_{b}" for a, b in splits]
 
-def _split_name(previous: Column, page: Column) -> Column:
-    return F.concat_ws("_", previous.cast("string"), page.cast("string"))
 
+def flow_splits(flow: list[int]) -> list[str]:
+    """The page splits of a flow, such as ``1_2`` and ``2_3`` for 1, 2, 3."""
+    return _names(list(zip(flow, flow[1:])))
 
-def in_ranges(views: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
-    """Distinct views with their ``copies``, cut into ranges of the whole order."""
-    whole = ["session_id", *order]
-    folded = views.groupBy(*whole).agg(F.count(F.lit(1)).alias("copies"))
-    ranged = (
-        folded.repartitionByRange(ranges, *whole) if ranges else folded.repartitionByRange(*whole)
-    )
-    return ranged.withColumn("cut", F.spark_partition_id())
 
+def in_cells(views: DataFrame, order: list[str], cell_seconds: int = CELL_SECONDS) -> DataFrame:
+    """Distinct views with their ``copies`` and the cell of time they lie in.
 
-def _consecutive_pairs(
-    views: DataFrame, order: list[str], splits: list[str], ranges: int | None
-) -> DataFrame:
-    """Consecutive pages of every session, however big.
-
-    Equal views are folded into one row with a count; a run of c equal views is
-    c - 1 steps from the page to itself. The folded rows are cut into ranges of
-    the whole order, so one session spreads over many tasks. Wanted steps inside a
-    range are counted there; besides the counts only the first and last row of
-    each range go on, and the first of a range follows the last of the session's
-    range before it.
+    Equal views are folded into one row inside the map tasks already.
     """
-    ranged = in_ranges(views, order, ranges)
-    inside = Window.partitionBy("session_id", "cut").orderBy(*order)
-    stepped = ranged.withColumns(
-        {
-            "previous": F.lag("page_id").over(inside),
-            "is_first": F.lag("copies").over(inside).isNull(),
-            "is_last": F.lead("copies").over(inside).isNull(),
-        }
-    )
-
-    def record(session: Column, cut: Column, first: Column, previous: Column, pv: Column) -> Column:
-        return F.struct(
-            session.alias("session_id"),
-            cut.alias("cut"),
-            first.alias("is_first"),
-            previous.alias("previous"),
-            F.col("page_id").alias("page_id"),
-            pv.cast("bigint").alias("pv"),
-        )
-
-    no_session, no_cut = F.lit(None).cast("string"), F.lit(None).cast("int")
-    no_page = F.lit(None).cast("bigint")
-    records = F.array_compact(
-        F.array(
-            F.when(
-                _split_name(F.col("previous"), F.col("page_id")).isin(splits),
-                record(no_session, no_cut, F.lit(False), F.col("previous"), F.lit(1)),
-            ),
-            F.when(
-                (F.col("copies") > 1)
-                & _split_name(F.col("page_id"), F.col("page_id")).isin(splits),
-                record(no_session, no_cut, F.lit(False), F.col("page_id"), F.col("copies") - 1),
-            ),
-            F.when(
-                F.col("is_first"),
-                record(F.col("session_id"), F.col("cut"), F.lit(True), no_page, F.lit(0)),
-            ),
-            F.when(
-                F.col("is_last"),
-                record(F.col("session_id"), F.col("cut"), F.lit(False), no_page, F.lit(0)),
-            ),
-        )
-    )
-    # Steps inside ranges collapse to one row per wanted split here; the rest
-    # are at most two rows per session and range.
-    summed = (
-        stepped.select(F.inline(records))
-        .groupBy("session_id", "cut", "is_first", "previous", "page_id")
-        .agg(F.sum("pv").alias("pv"))
-    )
-    # A range's first row sorts before its last one.
-    edges = Window.partitionBy("session_id").orderBy("cut", F.desc("is_first"))
-    across = F.col("session_id").isNotNull()
-    return (
-        summed.withColumn("before", F.lag("page_id").over(edges))
-        .select(
-            F.when(across & F.col("is_first"), F.col("before"))
-            .when(~across, F.col("previous"))
-            .alias("previous"),
-            "page_id",
-            F.when(across, F.lit(1)).otherwise(F.col("pv")).cast("bigint").alias("pv"),
-        )
-        .where(F.col("previous").isNotNull())
-    )
+    cell = F.call_function("div", F.unix_seconds("action_time"), F.lit(cell_seconds))
+    return views.groupBy("session_id", cell.alias("cell"), *order).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def page_pair_counts(
     actions: DataFrame,
     flow: list[int],
     sequence: list[str] = (),
-    ranges: int | None = None,
+    cell_seconds: int = CELL_SECONDS,
 ) -> DataFrame:
     """Views of each target split: page B right after page A in one session.
 
     Actions go by time, then by the ``sequence`` columns (an event number, where
     the table has one), then by page. Rows without a session id are in no session.
-    ``ranges`` is the number of ranges, by default the session's shuffle partitions.
+
+    Every session is cut into cells of ``cell_seconds``; a row's cell is known
+    from the row, so even a session that never ends spreads over many tasks. A
+    run of c equal views is c - 1 steps from the page to itself. A cell's steps
+    are counted where it was ordered and leave as one row with its first and last
+    page; the first page of a cell follows the last one of the session's cell
+    before it. Choose shorter cells for sessions with very many views an hour.
     """
     order = ["action_time", *sequence, "page_id"]
+    splits = list(dict.fromkeys(zip(flow, flow[1:])))
+    if not splits:
+        return actions.sparkSession.createDataFrame([], "page_split string, pv long")
     views = actions.where(F.col("session_id").isNotNull()).select("session_id", *order)
-    pairs = _consecutive_pairs(views, order, flow_splits(flow), ranges)
-    return (
-        pairs.select(_split_name(F.col("previous"), F.col("page_id")).alias("page_split"), "pv")
-        .where(F.col("page_split").isin(flow_splits(flow)))
-        .groupBy("page_split")
-        .agg(F.sum("pv").alias("pv"))
+    inside = Window.partitionBy("session_id", "cell").orderBy(*order)
+    stepped = in_cells(views, order, cell_seconds).withColumn("previous", F.lag("page_id").over(inside))
+
+    def is_step(before: str, page: str, a: int, b: int) -> Column:
+        return (F.col(before) == a) & (F.col(page) == b)
+
+    def steps(a: int, b: int) -> Column:
+        again = F.when(F.col("page_id") == a, F.col("copies") - 1) if a == b else F.lit(0)
+        between = F.when(is_step("previous", "page_id", a, b), 1)
+        return F.sum(F.coalesce(again, F.lit(0)) + F.coalesce(between, F.lit(0)))
+
+    # Ordered by cell already, so this moves nothing.
+    position = F.struct(*order)
+    cells = stepped.groupBy("session_id", "cell").agg(
+        *[steps(a, b).alias(f"steps_{i}") for i, (a, b) in enumerate(splits)],
+        F.min_by("page_id", position).alias("first_page"),
+        F.max_by("page_id", position).alias("last_page"),
+    )
+    along = Window.partitionBy("session_id").orderBy("cell")
+    stitched = cells.withColumn("page_before", F.lag("last_page").over(along))
+    totals = stitched.agg(
+        *[
+            F.sum(F.col(f"steps_{i}") + F.when(is_step("page_before", "first_page", a, b), 1).otherwise(0)).alias(name)
+            for i, ((a, b), name) in enumerate(zip(splits, _names(splits)))
+        ]
+    )
+    counts = F.array(
+        *[F.struct(F.lit(name).alias("page_split"), F.col(f"`{name}`").alias("pv")) for name in _names(splits)]
     )
+    return totals.select(F.inline(counts)).where("pv > 0")
 
 
 def start_page_views(actions: DataFrame, flow: list[int]) -> DataFrame:

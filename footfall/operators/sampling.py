@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.operators.ranking import top_n
 from footfall.operators.sessions import session_lists
 
 SAMPLE_SIZE = 100
+# Hexadecimal digits of a digest by which an hour's sessions are counted.
+DIGITS = 3
 
 
 def _with_hour(sessions: DataFrame) -> DataFrame:
@@ -51,16 +52,27 @@ def sample_sessions(sessions: DataFrame, n: int = SAMPLE_SIZE, seed: int = 0) ->
     """At most ``n`` sessions, spread over days and hours by ``sample_quota``.
 
     The order within an hour is the digest of seed and session id: random to
-    the eye, the same on every run. No hour can give more than ``n`` rows, so
-    all but an hour's first ``n`` are dropped before its quota is applied.
+    the eye, the same on every run. One pass counts an hour's sessions by the
+    beginning of their digest, which gives the quotas and, for each hour, the
+    beginning up to which its share reaches; a second one ranks the sessions up
+    to there. ``sessions`` is read twice and never shuffled as a whole.
     """
     digest = F.md5(F.concat(F.lit(str(seed)), F.col("session_id")))
-    drawn = _with_hour(sessions).withColumn("_order", digest)
-    best = top_n(drawn, ["date", "hour"], ["_order", "session_id"], n)
-    quotas = sample_quota(sessions_per_hour(sessions), n).select("date", "hour", "quota")
-    return best.join(quotas, ["date", "hour"]).where(F.col("_rank") <= F.col("quota")).select(
-        *sessions.columns
+    drawn = _with_hour(sessions).withColumn("_order", digest).withColumn("_start", F.substring("_order", 1, DIGITS))
+    hour = ["date", "hour"]
+    counted = drawn.groupBy(*hour, "_start").agg(F.count(F.lit(1)).alias("_count"))
+    quotas = sample_quota(counted.groupBy(*hour).agg(F.sum("_count").alias("hour_count")), n)
+    before = Window.partitionBy(*hour).orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    reached = (
+        counted.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
+        .join(quotas.select(*hour, "quota"), hour)
+        .where(F.col("_before") < F.col("quota"))
+        .groupBy(*hour, "quota")
+        .agg(F.max("_start").alias("_last"))
     )
+    near = drawn.join(reached, hour).where(F.col("_start") <= F.col("_last"))
+    rank = F.row_number().over(Window.partitionBy(*hour).orderBy("_order", "session_id"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= F.col("quota")).select(*sessions.columns)
 
 
 def sampled_session_records(sampled: DataFrame, actions: DataFrame) -> DataFrame:

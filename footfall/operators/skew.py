@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from footfall.settings import materialize
+
 SALTS = 64
+# Keys that a task's sketch of frequent keys holds.
+TRACKED = 1 << 16
 
 
 def _hashable(kind: DataType) -> bool:
@@ -32,6 +36,18 @@ def salt(df: DataFrame, n: int, by: list[str] | None = None) -> Column:
     return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(n)).cast("int")
 
 
+def key_sketch(df: DataFrame, key: str, tracked: int = TRACKED) -> DataFrame:
+    """Frequent keys of ``df`` and about how many rows they have, as (key, about_rows), in one pass.
+
+    Every task keeps a heavy-hitter sketch of at most ``tracked`` keys, which
+    are merged. Keys that hold more than 7 / ``tracked`` of all rows are always
+    found, and all keys with their exact counts where there are no more than
+    three quarters of ``tracked``.
+    """
+    found = df.where(F.col(key).isNotNull()).agg(F.call_function("approx_top_k", key, F.lit(tracked), F.lit(tracked)).alias("top"))
+    return found.select(F.explode("top").alias("top")).select(F.col("top.item").alias(key), F.col("top.count").alias("about_rows"))
+
+
 def hot_keys(
     df: DataFrame,
     key: str,
@@ -39,16 +55,20 @@ def hot_keys(
     fraction: float = 1.0,
     seed: int = 7,
     min_rows: int = 1,
+    tracked: int = TRACKED,
 ) -> DataFrame:
     """The ``n`` most frequent keys of a sample, as (key, sampled_rows).
 
-    ``min_rows`` refers to the whole table; it is scaled to the sample.
+    ``min_rows`` refers to the whole table; it is scaled to the sample. A first
+    pass finds candidates by ``key_sketch``, so a group by every key is never
+    made; a second one counts the candidates exactly.
     """
     keys = df.select(key).where(F.col(key).isNotNull())
     if fraction < 1.0:
         keys = keys.sample(fraction=fraction, seed=seed)
     return (
-        keys.groupBy(key)
+        keys.join(key_sketch(keys, key, tracked).select(key), key, "left_semi")
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias("sampled_rows"))
         .where(F.col("sampled_rows") >= max(1, int(min_rows * fraction)))
         .orderBy(F.desc("sampled_rows"), F.asc(key))
@@ -114,16 +134,15 @@ def skew_split_join(
     fraction: float = 0.1,
     seed: int = 7,
     top: int = 1,
+    tracked: int = TRACKED,
 ) -> DataFrame:
-    """Join the ``top`` hottest keys of a sample with salts, all others plainly; union both.
+    """Join the ``top`` hottest keys of a sample with salts, all others plainly.
 
-    The sample is drawn with a seed from the same scan each time, so both
-    sides of both joins see the same hot keys.
+    The hot keys are found in one pass over the sample and stored; both kinds of
+    rows then go through one join, so the left side is read twice in all. Which
+    keys are hot changes nothing in the result, so the sketch's counts will do.
     """
-    hot = hot_keys(left, key, top, fraction, seed)
-    left, right = _marked(left, hot, key), _marked(right, hot, key)
-    hot_part = salted_join(
-        left.where("_hot").drop("_hot"), right.where("_hot").drop("_hot"), key, how, n
-    )
-    rest = left.where("not _hot").drop("_hot").join(right.where("not _hot").drop("_hot"), key, how)
-    return hot_part.unionByName(rest)
+    sample = left.select(key).sample(fraction=fraction, seed=seed) if fraction < 1.0 else left.select(key)
+    order = [F.desc("about_rows"), F.asc(key)]
+    hot = materialize(key_sketch(sample, key, tracked).orderBy(*order).limit(top).select(key), "hot-keys")
+    return salted_join(left, right, key, how, n, hot)

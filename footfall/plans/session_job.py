@@ -25,8 +25,10 @@ def session_results(
 ) -> dict[str, DataFrame]:
     """Result table name -> rows.
 
-    The selected sessions, their activity, the sample and the top sessions are
-    written to the shared folder once, since several results start from them.
+    The selected sessions, their activity, the sample, the top sessions and the
+    actions of both are written to the shared folder once, since several results
+    start from them. The actions are read three times, for the sessions, their
+    activity and the actions of the few.
     """
     actions = scan_actions(actions, params)
     selected = materialize(sessions.selected_sessions(actions, users, params), "sessions")
@@ -38,13 +40,15 @@ def session_results(
     top_sessions = materialize(
         categories.top_sessions_per_category(activity, top_categories), "top-sessions"
     )
+    few = sampled.select("session_id").unionByName(top_sessions.select("session_id"))
+    few_actions = materialize(sessions.session_detail(actions, few), "few-actions")
     return {
         "session_aggr_stat": sessions.session_length_stats(selected),
-        "session_random_extract": sampling.sampled_session_records(sampled, actions),
-        "session_detail": sessions.detail_of_few(actions, sampled),
+        "session_random_extract": sampling.sampled_session_records(sampled, few_actions),
+        "session_detail": sessions.detail_of_few(few_actions, sampled),
         "top10_category": top_categories,
         "top10_session": top_sessions,
-        "top10_session_detail": sessions.detail_of_few(actions, top_sessions),
+        "top10_session_detail": sessions.detail_of_few(few_actions, top_sessions),
     }
 
 

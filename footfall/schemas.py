@@ -165,6 +165,10 @@ AD_CLICK_TREND = _table(
     date=DateType, hour=StringType, minute=StringType, ad_id=LongType, click_count=LongType
 )
 
+AD_TREND_SEEN = _table(trend_batch=LongType, clicks=LongType)
+
+AD_TREND_COUNTED = _table(trend_batch=LongType, counted=LongType)
+
 RESULT_TABLES = {
     "session_aggr_stat": SESSION_AGGR_STAT,
     "session_random_extract": SESSION_RANDOM_EXTRACT,

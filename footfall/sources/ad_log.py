@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from footfall.functions import columns as C
 
-LOG_FIELDS = 5
-
 
 def kafka_lines(spark: SparkSession, servers: str, topics: str, **options: str) -> DataFrame:
     """Stream of log lines from a comma list of topics.
@@ -74,21 +72,3 @@ def parse_ad_log(lines: DataFrame, metric: str | None = None) -> DataFrame:
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
     return _parsed(lines).where(~_well_formed()).select("value")
-
-
-def to_log_lines(clicks: DataFrame) -> DataFrame:
-    """Clicks written as log lines; blanks inside names become underscores."""
-
-    def word(name: str) -> Column:
-        return F.translate(F.col(name), " ", "_")
-
-    return clicks.select(
-        F.concat_ws(
-            " ",
-            F.unix_millis("ts").cast("string"),
-            word("province"),
-            word("city"),
-            F.col("user_id").cast("string"),
-            F.col("ad_id").cast("string"),
-        ).alias("value")
-    )

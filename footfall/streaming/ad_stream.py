@@ -1,138 +1,215 @@
 """Running ad-click statistics: two streaming queries over one log.
 
-The first works batch by batch because its filter depends on its own earlier
-output: a user who reaches the threshold is left out from the next batch on.
-The second counts clicks per minute in Spark's own state, on the unfiltered log.
+The first counts clicks per user and ad in Spark's state, blacklists users there
+who reach the threshold, and brings the other tables up to date batch by batch,
+because a blacklisted user is left out from the next batch on. The second counts
+clicks per minute, also in Spark's state, on the unfiltered log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from footfall import schemas
 from footfall.operators import ads
-from footfall.sinks.batch_log import BatchLog
+from footfall.sinks.keyed_table import KeyedTable
 from footfall.sources.ad_log import parse_ad_log
 
 BATCH_INTERVAL = "5 seconds"
 TREND_DELAY = "60 minutes"
+# A user's count of an ad on a day is forgotten when it has not grown for so long.
+FORGET_HOURS = 72
 USER_KEYS = ["date", "user_id", "ad_id"]
 PLACE_KEYS = ["date", "province", "city", "ad_id"]
+MINUTE_KEYS = ["date", "hour", "minute", "ad_id"]
+TREND_METRIC = "ad_trend"
+# How often a failed query is started again, and how often progress is stored.
+RESTARTS = 3
+RECORD_SECONDS = 60
+
+_SUMMED = "date date, province string, city string, user_id long, ad_id long, click_count long"
 
 
 @dataclass(frozen=True)
 class AdTables:
-    """The five tables kept up to date by the stream, in one folder."""
+    """The tables kept up to date by the stream, in one folder.
+
+    ``buckets`` is the number of parts a day of user clicks has, which is the
+    largest of the tables; a day of places has a quarter of them.
+    """
 
     root: str
+    buckets: int = 4
 
-    def _log(self, name: str, schema, rule: str, keys: list[str]) -> BatchLog:
+    def _table(self, name: str, schema, rule: str, keys: list[str], **how) -> KeyedTable:
         day = "date" if "date" in keys else None
-        return BatchLog(f"{self.root.rstrip('/')}/{name}", schema, rule, keys, split_by=day)
+        how = {"buckets": self.buckets if "user_id" in keys else max(1, self.buckets // 4)} | how
+        return KeyedTable(f"{self.root.rstrip('/')}/{name}", schema, rule, keys, split_by=day, **how)
 
     @property
-    def user_clicks(self) -> BatchLog:
-        return self._log(
-            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "increment", USER_KEYS
-        )
+    def user_clicks(self) -> KeyedTable:
+        return self._table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "replace", USER_KEYS)
 
     @property
-    def blacklist(self) -> BatchLog:
-        return self._log("ad_blacklist", schemas.AD_BLACKLIST, "new_keys", ["user_id"])
+    def blacklist(self) -> KeyedTable:
+        return self._table("ad_blacklist", schemas.AD_BLACKLIST, "new_keys", ["user_id"])
 
     @property
-    def stat(self) -> BatchLog:
-        return self._log("ad_stat", schemas.AD_STAT, "increment", PLACE_KEYS)
+    def stat(self) -> KeyedTable:
+        return self._table("ad_stat", schemas.AD_STAT, "increment", PLACE_KEYS)
 
     @property
-    def running_stat(self) -> BatchLog:
+    def running_stat(self) -> KeyedTable:
         """The same statistics when Spark's state holds the totals."""
-        return self._log("ad_running_stat", schemas.AD_STAT, "replace", PLACE_KEYS)
+        return self._table("ad_running_stat", schemas.AD_STAT, "replace", PLACE_KEYS)
 
     @property
-    def province_top(self) -> BatchLog:
-        return self._log(
-            "ad_province_top3", schemas.AD_PROVINCE_TOP3, "replace_group", ["date", "province"]
+    def province_clicks(self) -> KeyedTable:
+        """Clicks over all cities; a province's ads of a day lie in one part."""
+        keys = ["date", "province", "ad_id"]
+        return self._table(
+            "ad_province_clicks", schemas.AD_PROVINCE_TOP3, "increment", keys, bucket_by=["province"]
         )
 
     @property
-    def trend(self) -> BatchLog:
-        return self._log(
-            "ad_click_trend", schemas.AD_CLICK_TREND, "replace", ["date", "hour", "minute", "ad_id"]
+    def province_top(self) -> KeyedTable:
+        return self._table(
+            "ad_province_top3", schemas.AD_PROVINCE_TOP3, "replace_group", ["date", "province"]
         )
 
+    @property
+    def trend(self) -> KeyedTable:
+        return self._table("ad_click_trend", schemas.AD_CLICK_TREND, "replace", MINUTE_KEYS)
+
+    @property
+    def trend_seen(self) -> KeyedTable:
+        """Clicks in each batch of the trend, in time or not."""
+        return self._table("ad_trend_seen", schemas.AD_TREND_SEEN, "replace", ["trend_batch"], buckets=1)
+
+    @property
+    def trend_counted(self) -> KeyedTable:
+        """Clicks that each batch added to the trend."""
+        return self._table("ad_trend_counted", schemas.AD_TREND_COUNTED, "new_keys", ["trend_batch"], buckets=1)
+
+
+def _summed(clicks: DataFrame) -> DataFrame:
+    """Clicks counted per place, user and ad in every task's batches of rows.
+
+    A user or an ad that most clicks belong to is a few rows from here on.
+    """
+    keys = ["date", "province", "city", "user_id", "ad_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(keys).aggregate([([], "count_all")])
+            yield from counted.rename_columns([*keys, "click_count"]).combine_chunks().to_batches()
+
+    return clicks.select(*keys).mapInArrow(run, _SUMMED)
+
+
+def counted_clicks(clicks: DataFrame, forget_hours: int | None = FORGET_HOURS) -> DataFrame:
+    """Streaming: each batch's clicks per day, place, user and ad, with ``total``.
+
+    ``total`` is what the user has clicked the ad on that day so far, in all
+    places; it is kept in Spark's state, of which a batch touches its own keys
+    only. A count that has not grown for ``forget_hours`` goes; with None none
+    does, as a query needs that is to end when its log does: Spark runs batches
+    without end while counts wait for their time.
+    """
+    places = ["province", "city"]
+    millis = (forget_hours or 0) * 3_600_000
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if forget_hours else GroupStateTimeout.NoTimeout
+
+    def add(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        clicked = pd.concat(list(frames)).groupby(places, dropna=False, as_index=False)["click_count"].sum()
+        total = (state.get[0] if state.exists else 0) + int(clicked["click_count"].sum())
+        state.update((total,))
+        if millis:
+            state.setTimeoutDuration(millis)
+        yield clicked.assign(total=total, **dict(zip(USER_KEYS, key, strict=True)))[
+            ["date", *places, "user_id", "ad_id", "click_count", "total"]
+        ]
+
+    return (
+        _summed(clicks)
+        .groupBy(*USER_KEYS)
+        .applyInPandasWithState(add, f"{_SUMMED}, total long", "total long", "update", timeout)
+    )
+
 
 def process_batch(
-    clicks: DataFrame,
+    counted: DataFrame,
     batch_id: int,
     tables: AdTables,
     threshold: int | None = ads.BLACKLIST_THRESHOLD,
     top_n: int = ads.TOP_ADS,
 ) -> None:
-    """Bring four tables up to date with one micro-batch of clicks.
+    """Bring the tables up to date with one micro-batch of ``counted_clicks``.
 
-    Reads only what batches before this one stored, so running it again gives
-    the same tables. With ``threshold`` None nobody is blacklisted.
+    Reads the blacklist and the parts of tables that the batch's keys fall in.
+    A user's clicks up to the batch that blacklists them were all counted, so
+    the totals of users who are not on the list hold nothing that was left out.
+    Running a batch again gives the same tables. With ``threshold`` None nobody
+    is blacklisted.
     """
-    spark = clicks.sparkSession
-    # A busy user is one row per key from here on, before any other shuffle.
-    counted = clicks.groupBy("date", "province", "city", "user_id", "ad_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
+    spark = counted.sparkSession
     blacklist = tables.blacklist.read(spark, before=batch_id)
     allowed = ads.without_blacklisted(counted, blacklist).persist()
     try:
-        by_user = allowed.groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
-        tables.user_clicks.write(batch_id, by_user)
-
-        if threshold is not None:
-            totals = tables.user_clicks.read_touching(
-                spark, allowed, USER_KEYS, before=batch_id + 1
-            )
-            tables.blacklist.write(batch_id, ads.blacklisted_users(totals, threshold))
-
+        if not allowed.take(1):
+            return
+        by_user = allowed.groupBy(*USER_KEYS).agg(F.max("total").alias("click_count"))
         by_place = allowed.groupBy(*PLACE_KEYS).agg(F.sum("click_count").alias("click_count"))
-        tables.stat.write(batch_id, by_place)
+        by_province = ads.province_clicks(by_place)
 
-        touched = tables.stat.read_touching(
-            spark, allowed, ["date", "province"], before=batch_id + 1
-        )
-        tables.province_top.write(batch_id, ads.province_top_ads(touched, top_n))
+        def tops() -> None:
+            tables.province_clicks.upsert(batch_id, by_province)
+            touched = tables.province_clicks.read_touching(spark, by_province, ["date", "province"])
+            tables.province_top.upsert(batch_id, ads.province_top_ads(touched, top_n))
+
+        steps = [lambda: tables.user_clicks.upsert(batch_id, by_user), lambda: tables.stat.upsert(batch_id, by_place), tops]
+        if threshold is not None:
+            black = ads.blacklisted_users(by_user, threshold)
+            steps.append(lambda: tables.blacklist.upsert(batch_id, black))
+        # The tables do not need each other, so their small jobs run side by side.
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for done in [pool.submit(step) for step in steps]:
+                done.result()
     finally:
         allowed.unpersist()
 
 
-def _compact(spark: SparkSession, logs: list[BatchLog], batch_id: int, every: int | None) -> None:
-    if every and batch_id and batch_id % every == 0:
-        for log in logs:
-            log.compact(spark, batch_id - 1)
-            log.remove_compacted(spark, keep=2)
-
-
 def start_statistics(
     lines: DataFrame,
     tables: AdTables,
     checkpoint: str,
     threshold: int | None = ads.BLACKLIST_THRESHOLD,
     top_n: int = ads.TOP_ADS,
-    compact_every: int | None = 100,
+    forget_hours: int | None = FORGET_HOURS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the query that keeps clicks, blacklist, statistics and tops."""
-    spark = lines.sparkSession
-    logs = [tables.user_clicks, tables.blacklist, tables.stat, tables.province_top]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _compact(batch.sparkSession, logs, batch_id, compact_every)
         process_batch(batch, batch_id, tables, threshold, top_n)
 
     return (
-        parse_ad_log(lines, metric="ad_log")
+        counted_clicks(parse_ad_log(lines, metric="ad_log"), forget_hours)
         .writeStream.queryName("ad-statistics")
+        .outputMode("update")
         .foreachBatch(handle)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/statistics")
         .trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
@@ -153,7 +230,10 @@ def minute_counts(clicks: DataFrame, delay: str = TREND_DELAY) -> DataFrame:
 def hopping_counts(
     clicks: DataFrame, size: str = "60 minutes", slide: str = "10 minutes", delay: str = TREND_DELAY
 ) -> DataFrame:
-    """Streaming clicks per ad in overlapping windows."""
+    """Streaming clicks per ad in overlapping windows, also of those still open.
+
+    For few windows per click; see ``sliding_counts``.
+    """
     return (
         clicks.withWatermark("ts", delay)
         .groupBy(F.window("ts", size, slide).alias("slot"), "ad_id")
@@ -162,6 +242,27 @@ def hopping_counts(
     )
 
 
+def sliding_counts(
+    clicks: DataFrame, size: str = "60 minutes", slide: str = "10 seconds", delay: str = TREND_DELAY
+) -> DataFrame:
+    """Streaming clicks per ad in overlapping windows, each once it is closed.
+
+    A first state counts clicks per slide; only the counts of slides that are
+    over go to the windows of the second one, so a click is repeated nowhere.
+    For append mode.
+    """
+    per_slide = (
+        clicks.withWatermark("ts", delay)
+        .groupBy(F.window("ts", slide).alias("slide"), "ad_id")
+        .agg(F.count(F.lit(1)).alias("clicks"))
+    )
+    return (
+        per_slide.groupBy(F.window(F.window_time("slide"), size, slide).alias("slot"), "ad_id")
+        .agg(F.sum("clicks").alias("click_count"))
+        .select(F.col("slot.start").alias("window_start"), "ad_id", "click_count")
+    )
+
+
 def running_stat(clicks: DataFrame, delay: str | None = None) -> DataFrame:
     """Streaming clicks per day, place and ad, held in Spark's state.
 
@@ -183,20 +284,15 @@ def running_stat(clicks: DataFrame, delay: str | None = None) -> DataFrame:
 
 def start_update(
     counts: DataFrame,
-    log: BatchLog,
+    write: Callable[[int, DataFrame], None],
     checkpoint: str,
-    compact_every: int | None = 100,
+    mode: str = "update",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start a query that stores the changed counts of every micro-batch."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        _compact(batch.sparkSession, [log], batch_id, compact_every)
-        log.write(batch_id, batch)
-
+    """Start a query that hands the changed counts of every micro-batch to ``write``."""
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(handle)
+        counts.writeStream.outputMode(mode)
+        .foreachBatch(lambda batch, batch_id: write(batch_id, batch))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))
         .start()
@@ -204,11 +300,51 @@ def start_update(
 
 
 def start_trend(
-    lines: DataFrame, tables: AdTables, checkpoint: str, delay: str = TREND_DELAY, **how
+    lines: DataFrame,
+    tables: AdTables,
+    checkpoint: str,
+    delay: str = TREND_DELAY,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the query that keeps clicks per minute."""
-    counts = minute_counts(parse_ad_log(lines), delay)
-    return start_update(counts, tables.trend, f"{checkpoint.rstrip('/')}/trend", **how)
+    """Start the query that keeps clicks per minute, and how many each batch added."""
+
+    def write(batch_id: int, batch: DataFrame) -> None:
+        batch = batch.persist()
+        try:
+            known = tables.trend.read_touching(batch.sparkSession, batch, MINUTE_KEYS)
+            grown = batch.select("click_count").unionByName(known.select((-F.col("click_count")).alias("click_count")))
+            added = grown.agg(F.coalesce(F.sum("click_count"), F.lit(0)).alias("counted"))
+            # Before the trend itself: when the batch runs again, what it added must not look known.
+            tables.trend_counted.upsert(batch_id, added.withColumn("trend_batch", F.lit(batch_id).cast("bigint")))
+            tables.trend.upsert(batch_id, batch)
+        finally:
+            batch.unpersist()
+
+    clicks = parse_ad_log(lines).observe(TREND_METRIC, F.count(F.lit(1)).alias("clicks"))
+    counts = minute_counts(clicks, delay)
+    return start_update(counts, write, f"{checkpoint.rstrip('/')}/trend", trigger=trigger)
+
+
+def record_seen(spark: SparkSession, trend: StreamingQuery, tables: AdTables) -> None:
+    """Store how many clicks the trend's recent batches had.
+
+    Spark remembers the progress of the last 100 batches of a query, so call it
+    at least that often.
+    """
+    seen = {
+        p.batchId: p.observedMetrics[TREND_METRIC]["clicks"]
+        for p in trend.recentProgress
+        if TREND_METRIC in p.observedMetrics
+    }
+    if seen:
+        rows = spark.createDataFrame(list(seen.items()), schemas.AD_TREND_SEEN)
+        tables.trend_seen.upsert(max(seen), rows)
+
+
+def late_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:
+    """trend_batch, clicks, counted, late: what each batch had, added to the trend, and lost by coming too late."""
+    seen = tables.trend_seen.read(spark).join(tables.trend_counted.read(spark), "trend_batch")
+    return seen.select("trend_batch", "clicks", "counted", (F.col("clicks") - F.col("counted")).alias("late"))
 
 
 def run_ad_stream(
@@ -219,3 +355,40 @@ def run_ad_stream(
         start_statistics(lines, tables, checkpoint, trigger=trigger, **how),
         start_trend(lines, tables, checkpoint, trigger=trigger),
     ]
+
+
+def serve_ad_stream(
+    lines: DataFrame,
+    tables: AdTables,
+    checkpoint: str,
+    restarts: int = RESTARTS,
+    trigger: dict | None = None,
+    **how,
+) -> None:
+    """Run both queries until they end, for good if the log never does.
+
+    A query that fails is started again from its checkpoint, each ``restarts``
+    times at most; then the other one is stopped and the failure raised.
+    """
+    starts = {
+        "statistics": lambda: start_statistics(lines, tables, checkpoint, trigger=trigger, **how),
+        "trend": lambda: start_trend(lines, tables, checkpoint, trigger=trigger),
+    }
+    running = {name: start() for name, start in starts.items()}
+    left = dict.fromkeys(starts, restarts)
+    while running:
+        for name, query in list(running.items()):
+            try:
+                ended = query.awaitTermination(RECORD_SECONDS)
+            except StreamingQueryException:
+                if not left[name]:
+                    for other in running.values():
+                        other.stop()
+                    raise
+                left[name] -= 1
+                ended = False
+                running[name] = starts[name]()
+            if name == "trend":
+                record_seen(lines.sparkSession, query, tables)
+            if ended:
+                del running[name]

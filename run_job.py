@@ -24,7 +24,7 @@ from footfall.plans.session_job import run_session_job
 from footfall.settings import apply_recommended
 from footfall.sources.ad_log import file_lines, kafka_lines
 from footfall.sources.tables import read_table
-from footfall.streaming.ad_stream import AdTables, run_ad_stream
+from footfall.streaming.ad_stream import AdTables, serve_ad_stream
 
 
 def arguments() -> argparse.Namespace:
@@ -62,8 +62,7 @@ def main() -> None:
             if args.log_folder
             else kafka_lines(spark, args.servers, args.topics)
         )
-        run_ad_stream(lines, AdTables(args.out), args.checkpoint, threshold=args.threshold)
-        spark.streams.awaitAnyTermination()
+        serve_ad_stream(lines, AdTables(args.out), args.checkpoint, threshold=args.threshold)
         return
     params = task_params(spark, args)
     actions = read_table(spark, args.actions)

@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from fixtures import clicks, rows
 
+from footfall.catalog import views as V
 from footfall.operators import ads as A
 from footfall.sources import ad_log as L
 
@@ -98,4 +99,4 @@ def test_log_lines(spark):
     at = datetime(2023, 11, 14, 22, 13, 20, 123000)
     assert rows(got) == [(at, at.date(), "Jiangsu", "Nanjing", 17, 3)] * 2
     assert L.malformed_lines(lines).count() == 6
-    assert rows(L.to_log_lines(got)) == [LINES[0]] * 2
+    assert rows(V.to_log_lines(got)) == [LINES[0]] * 2

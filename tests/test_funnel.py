@@ -36,12 +36,12 @@ def random_views(seed, n, sessions, seconds, pages=3):
     ]
 
 
-@pytest.mark.parametrize("ranges", [None, 1, 5, 50])
+@pytest.mark.parametrize("cell_seconds", [1, 2, 600, N.CELL_SECONDS])
 @pytest.mark.parametrize("seconds", [1, 5, 5000])
-def test_pairs_match_brute_force(spark, ranges, seconds):
+def test_pairs_match_brute_force(spark, cell_seconds, seconds):
     views = random_views(seconds, 400, 6, seconds)
     df = table(spark, views).repartition(5)
-    got = N.page_pair_counts(df, FLOW, ranges=ranges)
+    got = N.page_pair_counts(df, FLOW, cell_seconds=cell_seconds)
     assert rows(got) == brute(views, FLOW)
 
 
@@ -51,16 +51,16 @@ def test_pairs_match_brute_force(spark, ranges, seconds):
         st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 6), st.integers(1, 3)), min_size=1, max_size=40
     )
 )
-def test_both_ways_agree(spark, views):
+def test_all_cells_agree(spark, views):
     df = table(spark, views)
-    for ranges in (None, 1, 7):
-        got = N.page_pair_counts(df, FLOW, ranges=ranges)
+    for cell_seconds in (1, 3, N.CELL_SECONDS):
+        got = N.page_pair_counts(df, FLOW, cell_seconds=cell_seconds)
         assert rows(got) == brute(views, FLOW)
 
 
-def test_one_session_of_equal_views_is_cut_up(spark):
+def test_equal_views_are_folded(spark):
     views = [("bot", 0, 1)] * 500 + [("bot", 1, 2)] * 500 + [("bot", 1, 3)]
-    got = N.page_pair_counts(table(spark, views), [1, 1, 2, 2, 3], ranges=3)
+    got = N.page_pair_counts(table(spark, views), [1, 1, 2, 2, 3], cell_seconds=1)
     assert rows(got) == [("1_1", 499), ("1_2", 1), ("2_2", 499), ("2_3", 1)]
 
 
@@ -100,12 +100,20 @@ def test_sequence_orders_equal_times(spark):
     assert rows(N.page_pair_counts(df, [2, 1], ["nr"])) == [("2_1", 1)]
 
 
-def test_a_huge_session_is_spread_over_ranges(spark):
+def test_a_huge_session_is_spread_over_cells(spark):
     views = [("bot", t, 1 + t % 3) for t in range(2000)]
     df = table(spark, views).select("session_id", "action_time", "page_id")
-    cut = N.in_ranges(df, ["action_time", "page_id"], 8)
-    sizes = [r["count"] for r in cut.groupBy("cut").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 600
+    cut = N.in_cells(df, ["action_time", "page_id"], 100)
+    sizes = [r["count"] for r in cut.groupBy("cell").count().collect()]
+    assert len(sizes) == 20 and max(sizes) == 100
+    assert rows(N.page_pair_counts(df, [1, 2, 3, 1], cell_seconds=100)) == [("1_2", 667), ("2_3", 666), ("3_1", 666)]
+
+
+def test_pages_and_times_that_are_null(spark):
+    some = table(spark, [("a", 0, 1), ("a", 1, 2), ("a", 2, None), ("a", 3, 2), ("a", 4, 1)])
+    timeless = some.where("page_id = 2").selectExpr(*[c if c != "action_time" else "cast(null as timestamp) action_time" for c in some.columns])
+    got = N.page_pair_counts(some.unionByName(timeless), [1, 2, 2, 1], cell_seconds=2)
+    assert rows(got) == [("1_2", 1), ("2_1", 2), ("2_2", 1)]
 
 
 def test_rows_without_session_are_in_no_session(spark):

@@ -1,12 +1,15 @@
 """The four applications from stored inputs to stored results."""
 
+import pytest
 from fixtures import action, actions, rows, users
 
 from footfall import schemas
 from footfall.params import load_params
+from footfall.plans import session_job
 from footfall.plans.page_job import run_page_job
 from footfall.plans.product_job import run_product_job
 from footfall.plans.session_job import SESSION_RESULTS, run_session_job
+from footfall.settings import materialize
 from footfall.sinks.results import read_result
 
 PARAM = '{"startDate":["2024-03-01"],"endDate":["2024-03-01"],"sex":["male"],"targetPageFlow":["1,2"]}'
@@ -66,3 +69,20 @@ def test_product_job(spark, tmp_path):
         (5, "West North", "C level", 10, "1:Rome", 2, "ten", "self"),
         (5, "West North", "C level", 11, "1:Rome", 1, "eleven", "Third Party"),
     ]
+
+
+def test_results_of_the_session_job_start_from_stored_tables(spark, tmp_path):
+    acts, people, params = inputs(spark)
+    acts.write.parquet(str(tmp_path / "actions"))
+    reads = []
+
+    def counted(df, name):
+        reads.append(df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/actions"))
+        return materialize(df, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(session_job, "materialize", counted)
+        results = session_job.session_results(spark.read.parquet(str(tmp_path / "actions")), people, params)
+    assert sum(reads) == 3
+    for df in results.values():
+        assert f"{tmp_path}/actions" not in df._jdf.queryExecution().executedPlan().toString()

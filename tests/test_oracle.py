@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from footfall.catalog.oracle import oracles
+from footfall.catalog.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,11 +15,9 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query_equals_sql(spark, con, name):
-    error = compare.compare(
-        spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), SF
-    )
+    error = compare.compare(spark, con, name, all_queries()[name], oracles().get(name), SF)
     assert error is None
 
 

@@ -5,14 +5,13 @@ import re
 import pytest
 from fixtures import action, actions
 
-import __spark_entry__ as entry
 from footfall.catalog import queries as Q
 from footfall.operators import sampling, sessions
 from footfall.params import JobParams
 from footfall.sources import tables as T
 
 SF = "/root/testdata/sf0.001"
-LAZY = [n for n in entry.queries() if not n.startswith(("stream_", "sink_", "session_job"))]
+LAZY = [n for n in Q.all_queries() if not n.startswith(("stream_", "sink_", "session_job"))]
 
 
 def plan(df):
@@ -21,13 +20,13 @@ def plan(df):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "ObjectConsumer"):
+    text = plan(Q.all_queries()[name](spark, SF))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas", "InArrow", "ObjectConsumer"):
         assert word not in text
 
 
 def test_date_range_reaches_the_scan(spark):
-    text = plan(entry.queries()["action_range_scan"](spark, SF))
+    text = plan(Q.all_queries()["action_range_scan"](spark, SF))
     pushed = max(re.findall(r"PushedFilters: \[(.*?)\]", text), key=len)
     assert "GreaterThanOrEqual(ts,2024-01-03" in pushed and "LessThan(ts,2024-01-28" in pushed
 
@@ -50,7 +49,7 @@ def test_date_range_prunes_partitions(spark, tmp_path):
     ],
 )
 def test_only_needed_columns_are_read(spark, name, columns):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(Q.all_queries()[name](spark, SF))
     read = next(r for r in re.findall(r"ReadSchema: struct<(.*?)>", text) if "ts:" in r)
     assert {c.split(":")[0] for c in read.split(",")} == columns
 
@@ -59,15 +58,26 @@ def test_only_needed_columns_are_read(spark, name, columns):
     "name", ["area_top_products", "ad_province_top", "top_sessions_per_category", "top_sessions_all_categories"]
 )
 def test_ranks_are_cut_before_the_shuffle(spark, name):
-    assert re.search(r"WindowGroupLimit .*Partial", plan(entry.queries()[name](spark, SF)))
+    assert re.search(r"WindowGroupLimit .*Partial", plan(Q.all_queries()[name](spark, SF)))
 
 
-def test_sample_is_cut_before_the_shuffle(spark):
-    assert re.search(r"WindowGroupLimit .*Partial", plan(sampling.sample_sessions(Q._selected(spark, SF))))
+def test_sample_reads_the_sessions_twice(spark, tmp_path):
+    Q._selected(spark, SF).write.parquet(str(tmp_path / "s"))
+    text = plan(sampling.sample_sessions(spark.read.parquet(str(tmp_path / "s"))))
+    scans = re.findall(r"FileScan parquet \[(.*?)\]", text)
+    # Counting needs two columns; Spark reuses the counts where the plan shows them again.
+    whole = [s for s in scans if "user_id" in s]
+    assert len(whole) == 1 and all(s.count("#") == 2 for s in scans if s not in whole)
+
+
+@pytest.mark.parametrize("name", ["sample_sessions", "sampled_session_detail", "top_session_detail"])
+def test_the_fact_is_read_once_more_for_the_few(spark, name):
+    """After the sessions or the activity were stored, one scan of the events gives the result."""
+    assert len(re.findall(r"FileScan parquet .*?/events\.parquet", plan(Q.all_queries()[name](spark, SF)))) == 1
 
 
 def test_top_list_needs_no_full_sort(spark):
-    assert "TakeOrderedAndProject" in plan(entry.queries()["top_categories"](spark, SF))
+    assert "TakeOrderedAndProject" in plan(Q.all_queries()["top_categories"](spark, SF))
 
 
 def test_filters_on_users_reach_the_user_table(spark, tmp_path):
@@ -95,3 +105,8 @@ def test_full_rollup_joins_without_another_shuffle(spark):
     # One shuffle for the features, one to drop repeats, one for the lists.
     text = plan(sessions.session_rollup(Q._task_actions(spark, SF)))
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_funnel_moves_views_twice_and_cells_once(spark):
+    text = plan(Q.all_queries()["page_pair_counts"](spark, SF))
+    assert text.count("Exchange hashpartitioning") == 3 and "rangepartitioning" not in text

@@ -80,3 +80,33 @@ def test_map_columns_and_unused_columns(spark):
     assert K.salted_join(df, right, "k").count() == 100
     plan = K.salted_count(df, ["k"])
     assert plan.agg(F.sum("count")).first()[0] == 100
+
+
+def test_hot_keys_among_a_million(spark):
+    """Far more keys than are tracked: those over the bound are found, and counted exactly."""
+    many = spark.range(1_000_000).selectExpr("id + 1000 AS k")
+    for k in range(5):
+        many = many.unionByName(spark.range(20_000 * (k + 1)).selectExpr(f"{k}L AS k"))
+    many = many.repartition(6, "k").unionByName(spark.createDataFrame([(None,)] * 9, "k long"))
+    got = [tuple(r) for r in K.hot_keys(many, "k", 5, tracked=4096).collect()]
+    # 7 / 4096 of 1,300,000 rows are 2,222.
+    assert got == [(k, 20_000 * (k + 1)) for k in reversed(range(5))]
+    assert K.hot_keys(many, "k", 9, min_rows=50_000, tracked=4096).count() == 3
+
+
+def test_the_left_side_of_a_split_join_is_read_twice(spark, sides, tmp_path):
+    left, right = sides
+    left.write.parquet(str(tmp_path / "left"))
+    stored = spark.read.parquet(str(tmp_path / "left"))
+    reads = []
+    materialize = K.materialize
+
+    def counted(df, name):
+        reads.append(df._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/left"))
+        return materialize(df, name)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(K, "materialize", counted)
+        joined = K.skew_split_join(stored, right, "k", "left", 7, top=2)
+    reads.append(joined._jdf.queryExecution().executedPlan().toString().count(f"{tmp_path}/left"))
+    assert reads == [1, 1] and shown(joined) == shown(left.join(right, "k", "left"))
