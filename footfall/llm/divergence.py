@@ -5,9 +5,9 @@ its occurrences by source, in memory. When the block is full, or the input at
 its end, it is spilled as a run: term by term in order, cut by the terms' hash
 into shards and, within a shard, into slices of bounded length. The runs of a
 shard come together in one task ordered by their slices' first terms. There a
-heap merges them: a slice is opened when its first term is due, equal terms
-leave the heap together and are summed up, and what is left behind is closed.
-So an open slice of each run is all that has to be in memory.
+heap merges them: a slice is opened when it comes, the terms that no later slice
+can have leave the heap together and are summed up, and slices without further
+terms are closed. So the open slices of the runs are all that has to be in memory.
 
 Shares of terms are whole numbers, all arithmetic is exact. Two sources' sum
 over all terms starts from the value that every term would give if neither had
@@ -24,25 +24,31 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter, defaultdict
+from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.words import array_of, texts_of
+from footfall.llm.words import texts_of
 from footfall.operators.ranking import top_n
 from footfall.settings import materialize
 
 # A term is kept in a language if so many of its documents have it.
 LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
-# Postings of a block, and terms of a slice.
-BLOCK = 500_000
+# Bytes of a block, about, of which a document's posting and a term's name take so many.
+BLOCK = 64 << 20
+POSTING_BYTES = 12
+TERM_BYTES = 100
+# Terms of a slice, and of all slices that are open before they are merged.
 SLICE = 1_024
+HELD = 1 << 18
 # Hash shards of the terms for each shuffle partition.
 SHARDS = 4
 SCALE = 1_000_000_000
@@ -53,59 +59,99 @@ LETTERS = bytes(c if c >= 128 else (c | 32) if chr(c).isalpha() else 32 for c in
 
 RUN = (
     "shard int, lang string, first string, sources array<string>, terms array<string>, "
-    "documents array<long>, ends array<int>, places array<int>, counts array<long>"
+    "documents array<long>, sizes array<int>, places array<int>, counts array<long>"
 )
 INDEX = "lang string, term string, sources array<string>, counts array<long>"
 
 
+class _Numbers(dict):
+    """Numbers of keys in the order in which they were first asked for."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
+def _lists(starts: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """The values cut into lists that begin at ``starts``."""
+    offsets = pa.array(np.append(starts, len(values)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
 class Block:
     """Postings of the documents seen since the last spill."""
 
     def __init__(self):
-        self.documents: dict[str, Counter] = defaultdict(Counter)
-        self.counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        self.terms, self.groups = _Numbers(), _Numbers()
+        self.found: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.group_of: list[int] = []
         self.size = 0
 
     def add(self, text: bytes, lang: str, source: str) -> None:
         words = text.translate(LETTERS).split()
-        counts, documents = self.counts[lang][source], self.documents[lang]
-        before = len(counts)
-        counts.update(words)
-        documents.update(set(words))
-        self.size += len(counts) - before
-
-    def run(self, shards: int, slice_terms: int) -> Iterator[pa.RecordBatch]:
+        if not words:
+            return
+        known = len(self.terms)
+        numbers = np.fromiter(map(self.terms.__getitem__, words), np.int32, len(words))
+        found, counts = np.unique(numbers, return_counts=True)
+        self.found.append(found)
+        self.counts.append(counts.astype(np.int32))
+        self.group_of.append(self.groups[lang, source])
+        self.size += POSTING_BYTES * len(found) + TERM_BYTES * (len(self.terms) - known)
+
+    def run(self, shards: int, slice_terms: int) -> pa.RecordBatch | None:
         """The block's slices, in the order of language, shard and term."""
-        for lang in sorted(self.counts):
-            groups = sorted(self.counts[lang])
-            postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-            for place, source in enumerate(groups):
-                for term, count in self.counts[lang][source].items():
-                    postings[term].append((place, count))
-            by_shard: dict[int, list[bytes]] = defaultdict(list)
-            for term in sorted(postings):
-                by_shard[xxhash.xxh64_intdigest(term) % shards].append(term)
-            documents = self.documents[lang]
-            for shard, terms in by_shard.items():
-                for at in range(0, len(terms), slice_terms):
-                    yield self._slice(shard, lang, groups, terms[at : at + slice_terms], postings, documents)
-
-    @staticmethod
-    def _slice(shard, lang, groups, terms, postings, documents) -> pa.RecordBatch:
-        ends = np.cumsum([len(postings[t]) for t in terms])
-        places, counts = zip(*(p for t in terms for p in postings[t]), strict=True)
-        one = lambda values, type_: pa.array([values], pa.list_(type_))
-        words = pa.array(terms, pa.binary()).cast(pa.string())
+        if not self.found:
+            return None
+        terms = pa.array(list(self.terms), pa.binary()).cast(pa.string())
+        shard = np.fromiter((xxhash.xxh64_intdigest(t) % shards for t in self.terms), np.int64, len(terms))
+        order = pa.compute.sort_indices(
+            pa.table({"shard": shard, "term": terms}), sort_keys=[("shard", "ascending"), ("term", "ascending")]
+        ).to_numpy()
+        place = np.empty(len(terms), np.int64)
+        place[order] = np.arange(len(terms))
+        terms, shard = terms.take(pa.array(order)), shard[order]
+        langs = _Numbers()
+        lang = np.array([langs[name] for name, _ in self.groups], np.int64)
+        groups = np.repeat(np.array(self.group_of, np.int64), [len(f) for f in self.found])
+        # One number for language, term and group brings all that is one posting together.
+        key = (lang[groups] * len(terms) + place[np.concatenate(self.found)]) * len(lang) + groups
+        by_key = np.argsort(key, kind="stable")
+        key = key[by_key]
+        postings = _begins(key)
+        counts = np.add.reduceat(np.concatenate(self.counts)[by_key].astype(np.int64), postings)
+        documents = np.diff(np.append(postings, len(key)))
+        row, group = np.divmod(key[postings], len(lang))
+        rows = _begins(row)
+        of_lang, at = np.divmod(row[rows], len(terms))
+        whole = _begins(of_lang, shard[at])
+        within = np.arange(len(rows)) - np.repeat(whole, np.diff(np.append(whole, len(rows))))
+        slices = np.flatnonzero(within % slice_terms == 0)
+        # A source's place among those of its language.
+        sources: list[list[str]] = [[] for _ in langs]
+        local = np.empty(len(lang), np.int32)
+        for number, (name, source) in enumerate(self.groups):
+            local[number] = len(sources[langs[name]])
+            sources[langs[name]].append(source)
+        names = list(langs)
         columns = [
-            pa.array([shard], pa.int32()),
-            pa.array([lang]),
-            words.slice(0, 1),
-            one(groups, pa.string()),
-            pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), words),
-            one([documents[t] for t in terms], pa.int64()),
-            one(ends, pa.int32()),
-            one(places, pa.int32()),
-            one(counts, pa.int64()),
+            pa.array(shard[at[slices]], pa.int32()),
+            pa.array([names[k] for k in of_lang[slices]], pa.string()),
+            terms.take(pa.array(at[slices])),
+            pa.array([sources[k] for k in of_lang[slices]], pa.list_(pa.string())),
+            _lists(slices, terms.take(pa.array(at))),
+            _lists(slices, np.add.reduceat(documents, rows)),
+            _lists(slices, np.diff(np.append(rows, len(postings))).astype(np.int32)),
+            _lists(rows[slices], local[group]),
+            _lists(rows[slices], counts),
         ]
         return pa.record_batch(columns, names=[part.split()[0] for part in RUN.split(", ")])
 
@@ -120,40 +166,99 @@ def runs(docs: DataFrame, shards: int, block: int = BLOCK, slice_terms: int = SL
             for text, lang, source in zip(texts_of(batch, "text"), langs, sources, strict=True):
                 held.add(text, lang, source)
                 if held.size >= block:
-                    yield from held.run(shards, slice_terms)
+                    yield held.run(shards, slice_terms)
                     held = Block()
-        yield from held.run(shards, slice_terms)
+        if (last := held.run(shards, slice_terms)) is not None:
+            yield last
 
     return docs.select(F.col("text").cast("binary"), "lang", "source").mapInArrow(run, RUN)
 
 
-def merged(slices: Iterator[tuple]) -> Iterator[tuple[tuple, str, int, dict[str, int]]]:
-    """(key, term, documents, occurrences by source) of slices that come in the order of key and first term.
+class Slice(NamedTuple):
+    """A run's terms in one shard of a language, or the next of them."""
+
+    key: tuple
+    first: str
+    sources: list[str]
+    terms: pa.Array
+    documents: np.ndarray
+    sizes: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+
+
+class Frequencies(NamedTuple):
+    """Merged terms in order: their documents, and for each the sources and occurrences there."""
+
+    key: tuple
+    terms: pa.Array
+    documents: np.ndarray
+    starts: np.ndarray
+    sources: pa.Array
+    counts: np.ndarray
+
+
+def _summed(key: tuple, parts: list[tuple[Slice, int, int]]) -> Frequencies:
+    """Equal terms of the slices' parts (from, to) added up."""
+    terms = pa.concat_arrays([s.terms.slice(a, b - a) for s, a, b in parts]).dictionary_encode()
+    by_term = pa.compute.sort_indices(terms.dictionary).to_numpy()
+    rank = np.empty(len(by_term), np.int64)
+    rank[by_term] = np.arange(len(by_term))
+    term = rank[terms.indices.to_numpy()]
+    documents = np.zeros(len(by_term), np.int64)
+    np.add.at(documents, term, np.concatenate([s.documents[a:b] for s, a, b in parts]))
+    sources = _Numbers()
+    source, counts, sizes = [], [], []
+    for s, a, b in parts:
+        ends = np.concatenate(([0], np.cumsum(s.sizes)))
+        numbers = np.array([sources[name] for name in s.sources], np.int64)
+        source.append(numbers[s.places[ends[a] : ends[b]]])
+        counts.append(s.counts[ends[a] : ends[b]])
+        sizes.append(s.sizes[a:b])
+    posting = np.repeat(term, np.concatenate(sizes)) * len(sources) + np.concatenate(source)
+    order = np.argsort(posting, kind="stable")
+    posting = posting[order]
+    begins = _begins(posting)
+    of_term, of_source = np.divmod(posting[begins], len(sources))
+    return Frequencies(
+        key,
+        terms.dictionary.take(pa.array(by_term)),
+        documents,
+        np.searchsorted(of_term, np.arange(len(by_term))),
+        pa.array(list(sources), pa.string()).take(pa.array(of_source)),
+        np.add.reduceat(np.concatenate(counts)[order], begins),
+    )
+
+
+def merged(slices: Iterator[Slice], held_terms: int = HELD) -> Iterator[Frequencies]:
+    """Frequencies of slices that come in the order of key and first term.
 
-    A slice is (key, sources, terms, documents, ends, places, counts).
+    The heap has the open slices by the next term of each. When they hold
+    ``held_terms``, all terms before the next slice's first are taken from it,
+    which are complete then; a slice goes back with what it has left.
     """
-    heap: list[tuple] = []
+    heap: list[tuple[str, int, int, Slice]] = []
+    held = 0
 
-    def due(until: str | None) -> Iterator[tuple]:
+    def due(until: str | None) -> Iterator[Frequencies]:
+        parts = []
         while heap and (until is None or heap[0][0] < until):
-            term, documents, counts = heap[0][0], 0, defaultdict(int)
-            while heap and heap[0][0] == term:
-                _, serial, at, part = heap[0]
-                key, sources, terms, of_terms, ends, places, found = part
-                documents += of_terms[at]
-                for k in range(ends[at - 1] if at else 0, ends[at]):
-                    counts[sources[places[k]]] += found[k]
-                if at + 1 < len(terms):
-                    heapq.heapreplace(heap, (terms[at + 1], serial, at + 1, part))
-                else:
-                    heapq.heappop(heap)
-            yield key, term, documents, counts
+            _, serial, at, part = heapq.heappop(heap)
+            end = len(part.terms) if until is None else bisect_left(part.terms.to_pylist(), until, at)
+            parts.append((part, at, end))
+            if end < len(part.terms):
+                heapq.heappush(heap, (part.terms[end].as_py(), serial, end, part))
+        if parts:
+            yield _summed(parts[0][0].key, parts)
 
     last = None
     for serial, part in enumerate(slices):
-        yield from due(part[2][0] if part[0] == last else None)
-        last = part[0]
-        heapq.heappush(heap, (part[2][0], serial, 0, part))
+        if part.key != last or held >= held_terms:
+            yield from due(part.first if part.key == last else None)
+            held = sum(len(s.terms) - at for _, _, at, s in heap)
+        last = part.key
+        heapq.heappush(heap, (part.first, serial, 0, part))
+        held += len(part.terms)
     yield from due(None)
 
 
@@ -161,32 +266,26 @@ def index(docs: DataFrame, least: int = LEAST_DOCUMENTS, block: int = BLOCK, sli
     """Kept terms of every language with their sources and occurrences there."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, lang, _, *lists = (column[row].as_py() for column in batch.columns)
-                yield (shard, lang), *lists
+                shard, lang, first, sources = (batch.column(k)[row].as_py() for k in range(4))
+                terms, *numbers = (batch.column(k)[row].values for k in range(4, 9))
+                yield Slice((shard, lang), first, sources, terms, *(n.to_numpy() for n in numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-
-        def handed() -> pa.RecordBatch:
-            langs, terms, counts = zip(*waiting, strict=True) if waiting else ((), (), ())
-            offsets = np.concatenate(([0], np.cumsum([len(c) for c in counts])))
-            names = pa.array([s for c in counts for s in c], pa.string())
-            numbers = pa.array([n for c in counts for n in c.values()], pa.int64())
-            lists = array_of(pa.string(), offsets, names), array_of(pa.int64(), offsets, numbers)
-            waiting.clear()
-            return pa.record_batch(
-                [pa.array(langs, pa.string()), pa.array(terms, pa.string()), *lists], names=["lang", "term", "sources", "counts"]
+        for f in merged(slices(batches)):
+            kept = np.flatnonzero(f.documents >= least)
+            lists = pa.array(kept)
+            offsets = np.append(f.starts, len(f.counts))
+            sources, counts = (
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), v).take(lists)
+                for v in (f.sources, pa.array(f.counts, pa.int64()))
+            )
+            langs = pa.array([f.key[1]] * len(kept), pa.string())
+            yield pa.record_batch(
+                [langs, f.terms.take(lists), sources, counts], names=["lang", "term", "sources", "counts"]
             )
-
-        for (_, lang), term, documents, counts in merged(slices(batches)):
-            if documents >= least:
-                waiting.append((lang, term, counts))
-                if len(waiting) >= SLICE:
-                    yield handed()
-        yield handed()
 
     spilled = runs(docs, SHARDS * tasks, block, slice_terms)
     return spilled.repartition(tasks, "shard").sortWithinPartitions("shard", "lang", "first").mapInArrow(run, INDEX)

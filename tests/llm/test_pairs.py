@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,7 +151,7 @@ def audited(spark, rows, **how):
     return sorted((r.lang, r.source, r.part, r["rank"], r["item"], r.value) for r in divergence.audit(table.repartition(5), **how).collect())
 
 
-@pytest.mark.parametrize("sizes", [(7, 3), (divergence.BLOCK, divergence.SLICE)])
+@pytest.mark.parametrize("sizes", [(900, 3), (divergence.BLOCK, divergence.SLICE)])
 def test_source_audit(spark, monkeypatch, sizes):
     monkeypatch.setattr(divergence.index, "__defaults__", (divergence.LEAST_DOCUMENTS, *sizes))
     rows = places()
@@ -163,12 +164,21 @@ def test_source_audit_of_no_rows(spark):
     assert audited(spark, []) == []
 
 
-def test_runs_are_merged_in_order():
-    one = ("k", ["s", "t"], ["a", "c", "d"], [1, 2, 3], [1, 3, 4], [0, 0, 1, 1], [5, 1, 1, 2])
-    two = ("k", ["t"], ["b", "d"], [1, 1], [1, 2], [0, 0], [4, 6])
-    late = ("k", ["s"], ["e"], [1], [1], [0], [9])
-    other = ("l", ["s"], ["a"], [1], [1], [0], [1])
-    got = [(k, t, d, dict(c)) for k, t, d, c in divergence.merged(iter([one, two, late, other]))]
+@pytest.mark.parametrize("held", [1, 4, divergence.HELD])
+def test_runs_are_merged_in_order(held):
+    def part(key, sources, terms, *numbers):
+        return divergence.Slice(key, terms[0], sources, pa.array(terms), *map(np.array, numbers))
+
+    one = part("k", ["s", "t"], ["a", "c", "d"], [1, 2, 3], [1, 2, 1], [0, 0, 1, 1], [5, 1, 1, 2])
+    two = part("k", ["t"], ["b", "d"], [1, 1], [1, 1], [0, 0], [4, 6])
+    late = part("k", ["s"], ["e"], [1], [1], [0], [9])
+    other = part("l", ["s"], ["a"], [1], [1], [0], [1])
+    got = []
+    for f in divergence.merged(iter([one, two, late, other]), held):
+        ends = [*f.starts[1:], len(f.counts)]
+        for k, term in enumerate(f.terms.to_pylist()):
+            at = slice(f.starts[k], ends[k])
+            got.append((f.key, term, f.documents[k], dict(zip(f.sources[at].to_pylist(), f.counts[at], strict=True))))
     assert got == [
         ("k", "a", 1, {"s": 5}), ("k", "b", 1, {"t": 4}), ("k", "c", 2, {"s": 1, "t": 1}),
         ("k", "d", 4, {"t": 8}), ("k", "e", 1, {"s": 9}), ("l", "a", 1, {"s": 1}),
