@@ -9,8 +9,9 @@ state the repeated span. The words that paths cover are removed.
 
 An edge is repeated when its words also start in a document with a smaller
 doc_id. Nulls and empty texts have no words. A row without doc_id repeats
-nothing and is repeated by nothing. Rows that share a doc_id are copies of one
-document and share its paths, if they have the same text; see ``repeated_spans``.
+nothing and is repeated by nothing. Rows that share a doc_id never repeat each
+other; a row is named by its doc_id and the digest of its text, so rows with
+both in common share their paths and rows of different texts have their own.
 An empty table gives no rows; other columns are ignored.
 """
 
@@ -35,11 +36,12 @@ CHUNK = 1_500_000
 FREQUENT = 1e-4
 
 # A bundle: the edges of one seed; a path: repeated edges of one document and their source.
-ROWS = "seed long, doc_id long, at int, edges binary, n int, source long, source_at int"
+ROWS = "seed long, doc_id long, row long, at int, edges binary, n int, source long, source_at int"
 _ROWS = pa.schema(
     [
         ("seed", pa.int64()),
         ("doc_id", pa.int64()),
+        ("row", pa.int64()),
         ("at", pa.int32()),
         ("edges", pa.binary()),
         ("n", pa.int32()),
@@ -100,37 +102,41 @@ def frequent_seeds(docs: DataFrame, m: int = SEED, share: float = FREQUENT, chun
     return np.sort(np.array([r.seed for r in rows], np.int64).view(np.uint64))
 
 
-def _first_of_each(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _first_of_each(key: np.ndarray, doc: np.ndarray, row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every edge, the index of its first occurrence: smallest document, then place; and whether it is
-    another row's copy, of the same document and place."""
-    order = np.lexsort((at, doc, key))
+    another one's copy, of the same document, row and place."""
+    order = np.lexsort((row, at, doc, key))
     new = np.ones(len(order), bool)
     new[1:] = key[order][1:] != key[order][:-1]
     first = np.empty(len(order), np.int64)
     first[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
     copy = np.zeros(len(order), bool)
-    copy[order[1:]] = ~new[1:] & (doc[order][1:] == doc[order][:-1]) & (at[order][1:] == at[order][:-1])
+    same = ~new
+    for column in (doc, row, at):
+        same[1:] &= column[order][1:] == column[order][:-1]
+    copy[order] = same
     return first, copy
 
 
-def _paths(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
-    """Repeated edges, sorted by document and place, compacted: (doc, at, n, source, source_at)."""
+def _paths(doc: np.ndarray, row: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray):
+    """Repeated edges, sorted by document, row and place, compacted: (doc, row, at, n, source, source_at)."""
     if not len(doc):
-        return doc, at, at, source, source_at
-    follows = (doc[1:] == doc[:-1]) & (source[1:] == source[:-1])
+        return doc, row, at, at, source, source_at
+    follows = (doc[1:] == doc[:-1]) & (row[1:] == row[:-1]) & (source[1:] == source[:-1])
     follows &= (at[1:] == at[:-1] + 1) & (source_at[1:] == source_at[:-1] + 1)
     starts = np.concatenate(([0], np.flatnonzero(~follows) + 1))
     n = np.diff(np.concatenate((starts, [len(doc)])))
-    return doc[starts], at[starts], n, source[starts], source_at[starts]
+    return doc[starts], row[starts], at[starts], n, source[starts], source_at[starts]
 
 
-def _path_batch(doc, at, n, source, source_at) -> pa.RecordBatch:
+def _path_batch(doc, row, at, n, source, source_at) -> pa.RecordBatch:
     none = len(doc)
     return pa.record_batch(
         [
             # Paths go anywhere: their place in the shuffle is drawn from their document.
             pa.array(mixed(doc.view(np.uint64) + at.astype(np.uint64)).view(np.int64)),
             pa.array(doc),
+            pa.array(row),
             pa.array(at.astype(np.int32)),
             pa.nulls(none, pa.binary()),
             pa.array(n.astype(np.int32)),
@@ -141,11 +147,13 @@ def _path_batch(doc, at, n, source, source_at) -> pa.RecordBatch:
     )
 
 
-def _bundles(doc: np.ndarray, at: np.ndarray, edge: np.ndarray, seed: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _bundles(
+    doc: np.ndarray, row: np.ndarray, at: np.ndarray, edge: np.ndarray, seed: np.ndarray
+) -> Iterator[pa.RecordBatch]:
     """Consecutive edges of a document with the same seed, as one row each."""
     if not len(doc):
         return
-    cut = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1) | (seed[1:] != seed[:-1])
+    cut = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1) | (seed[1:] != seed[:-1])
     starts = np.concatenate(([0], np.flatnonzero(cut) + 1))
     n = np.diff(np.concatenate((starts, [len(doc)])))
     # 48 bits of an edge's hash beside the 64 of its seed.
@@ -159,6 +167,7 @@ def _bundles(doc: np.ndarray, at: np.ndarray, edge: np.ndarray, seed: np.ndarray
         [
             pa.array(seed[starts].view(np.int64)),
             pa.array(doc[starts]),
+            pa.array(row[starts]),
             pa.array(at[starts].astype(np.int32)),
             blobs,
             pa.array(n.astype(np.int32)),
@@ -169,25 +178,32 @@ def _bundles(doc: np.ndarray, at: np.ndarray, edge: np.ndarray, seed: np.ndarray
     )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a digest of the text) and text."""
+    text = F.col("text").cast("binary")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("row"), text.alias("text"))
+
+
 def _sent(docs: DataFrame, k: int, m: int, chunk: int) -> DataFrame:
     """Bundles of edges; of an edge in several documents of a task's chunk, those of the first one and paths for the rest."""
     frequent = frequent_seeds(docs, m, chunk=chunk)
 
     def settle(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        doc, at, edge, seed = (np.concatenate(c) for c in zip(*parts, strict=True))
-        first, copy = _first_of_each(edge, doc, at)
+        doc, row, at, edge, seed = (np.concatenate(c) for c in zip(*parts, strict=True))
+        first, copy = _first_of_each(edge, doc, row, at)
         repeated = doc[first] < doc
         order = np.flatnonzero(repeated)
-        yield _path_batch(*_paths(doc[order], at[order], doc[first][order], at[first][order]))
+        yield _path_batch(*_paths(doc[order], row[order], at[order], doc[first][order], at[first][order]))
         # Every place of the edge in its first document: a smaller one may be in another chunk.
         sent = ~repeated & ~copy
-        yield from _bundles(doc[sent], at[sent], edge[sent], seed[sent])
+        yield from _bundles(doc[sent], row[sent], at[sent], edge[sent], seed[sent])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = hash_memory()
         parts, held = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
+            named = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch, "text"), strict=True)
+            for doc_id, row, text in named:
                 words = text.split()
                 n = len(words) - k + 1
                 if n <= 0:
@@ -198,7 +214,7 @@ def _sent(docs: DataFrame, k: int, m: int, chunk: int) -> DataFrame:
                     near = frequent[np.minimum(np.searchsorted(frequent, seeds), len(frequent) - 1)]
                     seeds |= (near == seeds).astype(np.uint64) << np.uint64(63)
                 least = np.lib.stride_tricks.sliding_window_view(seeds, k - m + 1).min(axis=1)
-                parts.append((np.full(n, doc_id, np.int64), np.arange(n), gram_hashes(hashes, k), least))
+                parts.append((*(np.full(n, x, np.int64) for x in (doc_id, row)), np.arange(n), gram_hashes(hashes, k), least))
                 held += n
                 if held >= chunk:
                     yield from settle(parts)
@@ -206,10 +222,7 @@ def _sent(docs: DataFrame, k: int, m: int, chunk: int) -> DataFrame:
         if parts:
             yield from settle(parts)
 
-    texts = docs.where("doc_id is not null").select(
-        F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")
-    )
-    return texts.mapInArrow(run, ROWS)
+    return _texts(docs.where("doc_id is not null")).mapInArrow(run, ROWS)
 
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,13 +235,13 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge[:, :6] = blob
         seed = np.repeat(table["seed"].to_numpy().view(np.uint64), n)
         key = mixed(seed ^ mixed(edge.view("<u8")[:, 0].astype(np.uint64)))
-        doc = np.repeat(table["doc_id"].to_numpy(), n)
+        doc, row = (np.repeat(table[c].to_numpy(), n) for c in ("doc_id", "row"))
         at = np.repeat(table["at"].to_numpy().astype(np.int64), n)
         at += np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-        first, _ = _first_of_each(key, doc, at)
+        first, _ = _first_of_each(key, doc, row, at)
         found = np.flatnonzero(doc[first] < doc)
-        found = found[np.lexsort((at[found], doc[found]))]
-        yield _path_batch(*_paths(doc[found], at[found], doc[first][found], at[first][found]))
+        found = found[np.lexsort((at[found], row[found], doc[found]))]
+        yield _path_batch(*_paths(doc[found], row[found], at[found], doc[first][found], at[first][found]))
 
     held: list[pa.Table] = []
     rows = 0
@@ -255,24 +268,24 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, k: int = EDGE, m: int = SEED, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, at, n, source, source_at): n consecutive edges that also start in ``source``."""
+    """(doc_id, row, at, n, source, source_at): n consecutive edges that also start in ``source``."""
     sent = _sent(docs, k, m, chunk).repartition("seed").sortWithinPartitions("seed")
-    found = sent.mapInArrow(_settled, ROWS).select("doc_id", "at", "n", "source", "source_at")
+    found = sent.mapInArrow(_settled, ROWS).select("doc_id", "row", "at", "n", "source", "source_at")
     return materialize(found, "spans")
 
 
 def compacted(spans: DataFrame, k: int = EDGE) -> DataFrame:
-    """Paths that continue each other, joined: (doc_id, start, end, source, source_start) in words."""
+    """Paths that continue each other, joined: (doc_id, row, start, end, source, source_start) in words."""
     apart = F.col("at") - F.col("source_at")
-    w = Window.partitionBy("doc_id", "source", "apart").orderBy("at")
+    w = Window.partitionBy("doc_id", "row", "source", "apart").orderBy("at")
     end = F.max(F.col("at") + F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("apart", apart).withColumn("new", (F.coalesce(end, F.lit(-1)) < F.col("at")).cast("int"))
     path = F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))
     return (
         marked.withColumn("path", path)
-        .groupBy("doc_id", "source", "apart", "path")
+        .groupBy("doc_id", "row", "source", "apart", "path")
         .agg(F.min("at").alias("start"), (F.max(F.col("at") + F.col("n")) + (k - 1)).alias("end"))
-        .select("doc_id", "start", "end", "source", (F.col("start") - F.col("apart")).alias("source_start"))
+        .select("doc_id", "row", "start", "end", "source", (F.col("start") - F.col("apart")).alias("source_start"))
     )
 
 
@@ -280,10 +293,9 @@ def without_repeats(docs: DataFrame, k: int = EDGE) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words joined by one space) of every row."""
     spans = (
         compacted(repeated_spans(docs, k), k)
-        .groupBy("doc_id")
+        .groupBy("doc_id", "row")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,7 +317,7 @@ def without_repeats(docs: DataFrame, k: int = EDGE) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    return texts.join(spans, "doc_id", "left").mapInArrow(
+    return _texts(docs).join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept binary"
     )
 
