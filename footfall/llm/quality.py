@@ -7,7 +7,8 @@ whether fewer than ``RISK`` of good documents are rejected. Levels are tested
 from the loosest on and the tightest one before the first failure is taken,
 which needs no correction along the path; across strata the error chance is
 divided by their number (Bonferroni). A stratum without enough labelled good
-documents rejects nothing by rule.
+documents rejects nothing by rule. Strata and their cutoffs are a table, of any
+length.
 
 A null text has no words; it fails the base rules, as every text under twenty
 words does. Rows with null or equal ids are judged one by one; only rows with an
@@ -34,8 +35,6 @@ MOST_REPEATED = 30
 # Share of a stratum's good documents that may be rejected, and the chance that more are.
 RISK = 0.02
 ERROR = 0.05
-# Strata with a cutoff of their own at most, those with the most labels; the others share one.
-STRATA = 256
 
 # Measure -> cutoffs from the loosest to the tightest. A document is rejected
 # above the cutoff; where the name ends in "_least", below it.
@@ -155,31 +154,42 @@ def first_level() -> Column:
     return found
 
 
-def chance_of_at_most(k: int, n: int, p: float) -> float:
-    """Binomial probability of k or fewer among n, exactly, summed by logarithms."""
-    if k >= n:
-        return 1.0
-    log_p, log_q = math.log(p), math.log1p(-p)
-    base = math.lgamma(n + 1)
-    terms = (
-        base - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * log_p + (n - i) * log_q for i in range(k + 1)
-    )
-    return min(1.0, math.fsum(math.exp(t) for t in terms))
+def chance_of_at_most(k: Column, n: Column, p: float) -> Column:
+    """Binomial probability of k or fewer among n, exactly, summed by logarithms from 0 successes on."""
+    odds = math.log(p) - math.log1p(-p)
+    first = F.struct((n * math.log1p(-p)).alias("log"), F.exp(n * math.log1p(-p)).alias("sum"))
+
+    def step(a: Column, i: Column) -> Column:
+        return let(
+            a["log"] + F.log((n - i + 1) / i) + odds,
+            lambda log: F.struct(log.alias("log"), (a["sum"] + F.exp(log)).alias("sum")),
+        )
+
+    terms = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<long>"))
+    total = F.aggregate(terms, first, step, lambda a: F.least(a["sum"], F.lit(1.0)))
+    return F.when(k >= n, F.lit(1.0)).otherwise(total)
+
+
+def certified_levels(rejected: Column, n: Column, error: float, risk: float = RISK) -> Column:
+    """How many levels are certified, of ``n`` good documents whose counts first rejected at each are given."""
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("levels"), F.lit(True).alias("going"))
+
+    def passes(total: Column) -> Column:
+        # At or above the risk itself more than a third of the chance lies below, which is never an error's.
+        small = total <= F.floor(n * risk)
+        return (n > 0) & small & (chance_of_at_most(F.when(small, total).otherwise(F.lit(0)), n, risk) <= error)
 
+    def step(a: Column, count: Column) -> Column:
+        return let(
+            F.struct((a["total"] + count).alias("total"), (a["going"] & passes(a["total"] + count)).alias("going")),
+            lambda b: F.struct(b["total"].alias("total"), (a["levels"] + b["going"].cast("int")).alias("levels"), b["going"].alias("going")),
+        )
 
-def certified_level(rejected: list[int], n: int, error: float, risk: float = RISK) -> int:
-    """How many levels are certified, given good documents rejected first at each."""
-    total = certified = 0
-    for count in rejected:
-        total += count
-        if n == 0 or chance_of_at_most(total, n, risk) > error:
-            break
-        certified += 1
-    return certified
+    return F.aggregate(rejected, start, step, lambda a: a["levels"])
 
 
-def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> dict[str | None, int]:
-    """Stratum -> levels certified; the stratum "" is that of all languages without one of their own."""
+def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """(lang, certified_levels) of every stratum with labelled good documents."""
     good = (
         labels.where("doc_id is not null and quality in (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -188,28 +198,21 @@ def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     )
     # Base rules reject without the method, so their failures are no risk of it.
     rows = measures.where(~base_failed()).join(good, "doc_id", "left_semi")
-    counts = rows.groupBy(F.coalesce("lang", F.lit("\0")).alias("stratum"), "level").agg(F.count(F.lit(1)).alias("n"))
+    at_level = [F.count_if(F.col("level") == level) for level in range(N_LEVELS)]
+    counts = rows.groupBy("lang").agg(F.array(*at_level).alias("rejected"), F.count(F.lit(1)).alias("n"))
     counts = materialize(counts, "levels")
-    largest = counts.groupBy("stratum").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "stratum").limit(STRATA)
-    named = [r.stratum for r in largest.collect()]
-    kept = F.when(F.col("stratum").isin(named), F.col("stratum")).otherwise(F.lit(""))
-    table: dict[str, list[int]] = {}
-    for r in counts.groupBy(kept.alias("stratum"), "level").agg(F.sum("n").alias("n")).collect():
-        table.setdefault(r.stratum, [0] * (N_LEVELS + 1))[r.level] = r.n
-    share = error / max(1, len(table))
-    return {s: certified_level(row[:N_LEVELS], sum(row), share, risk) for s, row in table.items()}
+    certified = certified_levels(F.col("rejected"), F.col("n"), error / max(1, counts.count()), risk)
+    return counts.select("lang", certified.alias("certified_levels"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """Counts of every row, base_failed, kept, and the level that was certified for its stratum."""
     measures = materialize(measured(docs).withColumn("level", first_level()), "measures")
-    levels = cutoffs(measures, labels, risk, error)
-    certified = F.lit(levels.get("", 0))
-    for stratum, level in levels.items():
-        if stratum:
-            certified = F.when(F.coalesce("lang", F.lit("\0")) == stratum, F.lit(level)).otherwise(certified)
+    levels = materialize(cutoffs(measures, labels, risk, error), "cutoffs").withColumnRenamed("lang", "stratum")
+    certified = F.coalesce("certified_levels", F.lit(0)).alias("certified_levels")
     return (
-        measures.withColumn("base_failed", base_failed())
-        .withColumn("certified_levels", certified)
+        measures.join(levels, measures["lang"].eqNullSafe(levels["stratum"]), "left")
+        .select(*[measures[c] for c in measures.columns], certified)
+        .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("level") >= F.col("certified_levels")))
     )
