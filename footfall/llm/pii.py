@@ -8,7 +8,9 @@ misses much (a check digit, a country code, an assignment in front) labels the
 candidates; the features leave out what that rule looks at. Candidates are
 counted per combination of features over all documents, trees are boosted on
 these counts, and for every kind the lowest score is taken from which enough of
-the labelled candidates are positive, judged by a lower binomial bound.
+the labelled candidates are positive, judged by a lower binomial bound. What the
+rule itself labels is taken whatever its score, however few there are; the rule
+for spelled-out mail addresses labels all of them.
 
 A null text is empty and has no spans. Rows are judged one by one, whatever
 their ids; an empty table gives no rows. ``spans`` ignores other columns,
@@ -38,11 +40,11 @@ PATTERNS = {
     "ip": "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++",
     "card": "[0-9](?:[ -]?+[0-9])++",
     "phone": "\\+[0-9](?:[ ().-]*+[0-9])++",
-    "mail_words": "(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}+ ?+(?:\\(at\\)|\\[at\\]|\\{at\\}) ?+[a-z0-9-]{2,64}+"
-    "(?: ?+(?:\\(dot\\)|\\[dot\\]|\\{dot\\}|\\.) ?+[a-z0-9-]{2,64}+)++",
+    "mail_words": "(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,}+ ?+(?:\\(at\\)|\\[at\\]|\\{at\\}) ?+[a-z0-9-]{2,}+"
+    "(?: ?+(?:\\(dot\\)|\\[dot\\]|\\{dot\\}|\\.) ?+[a-z0-9-]{2,}+)++",
     "number": "(?<![0-9+.A-Za-z])[0-9](?:[ -]?+[0-9]){8,18}+(?![0-9])",
     "local_phone": "(?<![0-9+A-Za-z])\\(?+[0-9]{2,4}+\\)?+[ .-][0-9]{3,4}+[ .-][0-9]{3,4}+(?![0-9A-Za-z])",
-    "secret": "(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,200}+(?![A-Za-z0-9_/+-])",
+    "secret": "(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{20,}+(?![A-Za-z0-9_/+-])",
 }
 # What a text must hold for a pattern to be worth running.
 NEEDED = {
@@ -60,7 +62,6 @@ CONTEXT = 24
 TREES = 24
 RATE = 0.3
 PRECISION = 0.9
-LEAST_POSITIVES = 20
 
 
 def found(text: Column, kind: str) -> Column:
@@ -217,9 +218,9 @@ def _split(cells, g, h):
 
 
 def fit(counts: list[tuple[dict[str, int], int, int]]) -> Model | None:
-    """Boosts trees on cells (features, candidates, positives); none when too little is labelled."""
+    """Boosts trees on cells (features, candidates, positives); none when nothing is labelled."""
     total, positives = sum(n for _, n, _ in counts), sum(p for _, _, p in counts)
-    if positives < LEAST_POSITIVES:
+    if not positives:
         return None
     rate = min(max(positives / total, 1e-3), 1 - 1e-3)
     model = Model(math.log(rate / (1 - rate)), [], math.inf)
@@ -278,14 +279,19 @@ def train(docs: DataFrame, text: str = "text") -> dict[str, Model | None]:
 
 
 def all_spans(text: Column, models: dict[str, Model | None]) -> dict[str, Column]:
-    """Kind -> structs (s, e) of the spans that are taken."""
+    """Kind -> structs (s, e) of the spans that are taken: what the precise rule labels, and what scores high enough."""
 
-    def taken(kind: str, model: Model) -> Column:
-        chosen = F.filter(candidates(text, kind), lambda x: model.score_column(x) >= model.threshold)
-        return F.transform(chosen, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    def taken(kind: str, model: Model | None) -> Column:
+        def chosen(x: Column) -> Column:
+            if model is None or model.threshold == math.inf:
+                return x["label"]
+            return x["label"] | (model.score_column(x) >= model.threshold)
 
-    usable = {k: m for k, m in models.items() if m is not None and m.threshold < math.inf}
-    return {k: base_spans(text, k) for k in BASE} | {k: taken(k, m) for k, m in usable.items()}
+        return F.transform(
+            F.filter(candidates(text, kind), chosen), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
+        )
+
+    return {k: base_spans(text, k) for k in BASE} | {k: taken(k, m) for k, m in models.items()}
 
 
 def _listed(kind: str, spans: Column) -> Column:
