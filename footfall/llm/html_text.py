@@ -58,8 +58,6 @@ IMPLIED_END = {
 # No end tag and no paragraph's end reaches out of these.
 SCOPES = frozenset(["td", "th", "caption", "table", "button", "object", "template"])
 HEAD_ONLY = frozenset("base link meta title style script noscript template head".split())
-# Open elements at a time; deeper start tags add no level of their own.
-DEEPEST = 2_000
 
 _MARKUP = regex.compile(
     r"<(?:(?P<comment>!--)|(?P<other>[!?])|(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)"
@@ -106,55 +104,72 @@ def _tokens(page: str) -> Iterator[Event]:
                     raw = name
 
 
+class _Open:
+    """The open elements, and the places of each name among them."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def pop(self) -> str:
+        name = self.names.pop()
+        self.places[name].pop()
+        return name
+
+    def last(self, names) -> int:
+        """The place of the innermost element of these names; -1 if none is open."""
+        return max((found[-1] for name in names if (found := self.places.get(name))), default=-1)
+
+
 def _tree(page: str) -> Iterator[Event]:
-    """The same, well nested: implied starts and ends added, stray ends dropped."""
-    stack: list[str] = []
+    """The same, well nested: implied starts and ends added, stray ends dropped.
+
+    Any element is found by its name at once, so deep pages take no longer.
+    """
+    stack = _Open()
 
     def ends(names, boundary) -> Iterator[Event]:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k] in names:
-                while len(stack) > k:
-                    yield "close", stack.pop(), ""
-                return
-            if stack[k] in boundary:
-                return
+        at = stack.last(names)
+        if at >= 0 and at >= stack.last(boundary):
+            while len(stack.names) > at:
+                yield "close", stack.pop(), ""
 
     def starts(name: str, attributes: str = "") -> Iterator[Event]:
-        stack.append(name)
+        stack.push(name)
         yield "open", name, attributes
 
     for kind, name, attributes in _tokens(page):
         if kind == "text":
-            if stack and stack[-1] in ("head", "html") and not name.isspace():
+            if stack.names and stack.names[-1] in ("head", "html") and not name.isspace():
                 yield from ends(("head",), ())
             yield kind, name, ""
         elif kind == "open":
-            if "head" in stack[:2] and name not in HEAD_ONLY:
+            if "head" in stack.names[:2] and name not in HEAD_ONLY:
                 yield from ends(("head",), ())
-            if name in BLOCKS and "p" in stack:
+            if name in BLOCKS and stack.last(("p",)) >= 0:
                 yield from ends(("p",), SCOPES)
             if name in IMPLIED_END:
                 yield from ends(*IMPLIED_END[name])
-            if name in ("td", "th") and "table" in stack and _nearest(stack, ("tr", "table")) == "table":
+            if name in ("td", "th") and stack.last(("table",)) > stack.last(("tr",)):
                 yield from starts("tr")
             if name in VOID:
                 yield "open", name, attributes
                 yield "close", name, ""
-            elif len(stack) < DEEPEST:
+            else:
                 yield from starts(name, attributes)
         elif name == "br":
             yield "open", "br", ""
             yield "close", "br", ""
         else:
             yield from ends((name,), SCOPES - {name} if name not in ("table", "tr", *SECTIONS) else {"table"} - {name})
-    while stack:
+    while stack.names:
         yield "close", stack.pop(), ""
 
 
-def _nearest(stack: list[str], names) -> str | None:
-    return next((s for s in reversed(stack) if s in names), None)
-
-
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)}
 
