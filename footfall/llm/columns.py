@@ -18,3 +18,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words(text: Column) -> Column:
     """Runs of characters that are no ASCII white space."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != "")
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores in front if a column has it already, in whatever case."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name = f"_{name}"
+    return name

@@ -30,7 +30,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
+from footfall.llm.columns import fresh
 from footfall.llm.words import Remembered, texts_of
 from footfall.settings import materialize
 
@@ -266,27 +268,32 @@ def _calibrate(model: Model, labelled: DataFrame) -> None:
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns, and toxic_score, toxic_passages (start, end in words, score)."""
-    names = docs.columns
-    schema = (
-        docs.schema.simpleString()[7:-1]
-        + ",toxic_score:double,toxic_passages:array<struct<start:int,end:int,score:double>>"
-    )
+    """All columns, and toxic_score, toxic_passages (start, end in words, score) as the last two.
+
+    Where docs has a column of such a name, the new one has an underscore in front.
+    """
+    added = [fresh(name, docs.columns) for name in ("toxic_score", "toxic_passages")]
+    passages_type = ArrayType(StructType().add("start", "integer").add("end", "integer").add("score", "double"))
+    names = [*docs.columns, *added]
+    # By place while they are in the tasks, for a name may hold anything.
+    places = [f"c{k}" for k in range(len(names))]
+    fields = [StructField(at, f.dataType) for at, f in zip(places, docs.schema.fields, strict=False)]
+    schema = StructType(fields).add(places[-2], "double").add(places[-1], passages_type)
+    text_at = places[docs.columns.index(text)]
     passage = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, passages = [], []
-            for t in texts_of(batch, text):
+            for t in texts_of(batch, text_at):
                 nats, found = model.evidence(tokens(t))
                 scores.append(model.score(nats))
                 passages.append([{"start": a, "end": b, "score": s} for s, a, b in found])
             yield pa.record_batch(
-                [*batch.columns, pa.array(scores, pa.float64()), pa.array(passages, passage)],
-                names=[*names, "toxic_score", "toxic_passages"],
+                [*batch.columns, pa.array(scores, pa.float64()), pa.array(passages, passage)], names=places
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.toDF(*places[:-2]).mapInArrow(run, schema).toDF(*names)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
