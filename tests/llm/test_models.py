@@ -1,5 +1,6 @@
 """Operators that learn, and the layout of pages."""
 
+import math
 import random
 
 import numpy as np
@@ -74,6 +75,15 @@ def test_toxicity_on_held_out_rows(spark, documents, toxic_docs):
     assert all(p.end > p.start for p in by_id[0].passages)
 
 
+def test_scores_beside_columns_of_any_name(spark, documents):
+    docs = documents([(1, "a b"), (2, None)]).withColumns(
+        {"toxic_score": F.lit("x"), "Toxic_Passages": F.lit(2), "two words": F.lit(3), "dot.ted": F.lit(4), "a,b:c": F.lit(5)}
+    )
+    got = toxicity.scored(docs, toxicity.Model({"a": 3.0}))
+    assert got.columns == [*docs.columns, "_toxic_score", "_toxic_passages"]
+    assert sorted((r.doc_id, r.toxic_score, r["dot.ted"]) for r in got.collect()) == [(1, "x", 4), (2, "x", 4)]
+
+
 def test_toxicity_without_labels_or_rows(spark, documents, toxic_docs):
     none = spark.createDataFrame([(None, None, None), (1, None, None)], LABELS)
     assert all(r.predicted == 0 for r in toxicity.toxicity(documents(toxic_docs[:5]), none).collect())
@@ -90,17 +100,36 @@ def test_held_out_rows_do_not_train(spark, documents, toxic_docs):
     assert toxicity.fit(docs, a) == toxicity.fit(docs, b)
 
 
-def test_exact_binomial_chance():
-    assert quality.chance_of_at_most(0, 10, 0.5) == pytest.approx(0.5**10)
-    assert quality.chance_of_at_most(10, 10, 0.5) == 1.0
-    assert quality.chance_of_at_most(2, 5, 0.3) == pytest.approx(0.83692)
-    assert quality.chance_of_at_most(100, 100_000, 0.02) == pytest.approx(0.0, abs=1e-12)
+def brute_binomial(k, n, p):
+    return math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+
+
+def test_exact_binomial_chance(spark):
+    chance = lambda k, n, p: spark.range(1).select(quality.chance_of_at_most(F.lit(k).cast("long"), F.lit(n), p)).first()[0]
+    assert chance(0, 10, 0.5) == pytest.approx(0.5**10)
+    assert chance(10, 10, 0.5) == 1.0
+    assert chance(2, 5, 0.3) == pytest.approx(0.83692)
+    assert chance(100, 100_000, 0.02) == pytest.approx(0.0, abs=1e-12)
+    assert chance(1990, 100_000, 0.02) == pytest.approx(sum(brute_binomial(k, 100_000, 0.02) for k in range(1991)), rel=1e-9)
+
+
+def test_levels_stop_before_the_first_that_fails(spark):
+    rows = [([0, 0, 0, 50, 0, 0], 1000, 3), ([0] * 6, 10, 0), ([0] * 6, 1000, 6), ([0] * 6, 0, 0), ([900, 0, 0, 0, 0, 0], 1000, 0)]
+    table = spark.createDataFrame(rows, "rejected array<long>, n long, wanted int")
+    got = table.select(quality.certified_levels(F.col("rejected"), F.col("n"), 0.05, 0.02).alias("levels"), "wanted").collect()
+    assert all(r.levels == r.wanted for r in got)
 
 
-def test_levels_stop_before_the_first_that_fails():
-    assert quality.certified_level([0, 0, 0, 50, 0, 0], 1000, 0.05, 0.02) == 3
-    assert quality.certified_level([0] * 6, 10, 0.05, 0.02) == 0
-    assert quality.certified_level([0] * 6, 1000, 0.05, 0.02) == 6
+def test_any_number_of_strata(spark, documents):
+    """300 languages with labels, among them the empty one; languages without labels reject nothing."""
+    text = " ".join(f"v{i}%%%" for i in range(60))
+    rows = [(k * 10 + i, text, f"l{k}" if k else "") for k in range(300) for i in range(3)]
+    rows += [(10_000 + i, " ".join(f"v{j}" for j in range(60)), "") for i in range(1200)]
+    rows += [(20_000, text, "xx"), (20_001, text, None), (20_002, text, "")]
+    labels = spark.createDataFrame([(d, 1, 0) for d, _, _ in rows[:2100] if d % 10 < 2 or d >= 10_000], LABELS)
+    got = {x.doc_id: (x.kept, x.certified_levels) for x in quality.judged(documents(rows), labels).collect()}
+    assert got[20_002] == (False, 6) and got[20_000] == got[20_001] == (True, 0)
+    assert all(got[k * 10] == (True, 0) for k in range(1, 300))
 
 
 def test_quality_verdict(spark, documents):
@@ -127,6 +156,11 @@ def test_added_spans_and_empty_models(documents):
     got = {x.doc_id: x.spans for x in pii.spans(docs).collect()}
     assert all(("secret:20:60" in got[i].split(",")) if i % 4 else (got[i] == "") for i in range(120))
     assert pii.fit([]) is None
+    # What the precise rules label is found however little there is of it, and however long.
+    key = "ab1" * 100
+    few = [(1, "write to jo (at) home (dot) org"), (2, f"token = {key} end"), (3, f"a{'b' * 90} (at) home.org"), (4, key)]
+    got = {x.doc_id: x.spans for x in pii.spans(documents(few)).collect()}
+    assert got == {1: "mail_words:9:31", 2: "secret:8:308", 3: "mail_words:0:105", 4: ""}
     redacted = {x.doc_id: x.text for x in pii.redacted(docs).collect()}
     assert redacted[1] == 'Some words token = "[SECRET]" end'
 
@@ -159,9 +193,10 @@ def test_language_model_prefers_order(spark, documents):
     shuffled = [(1000 + i, " ".join(r.sample(t.split(), 100))) for i, t in rows[:20]]
     docs = documents(rows)
     net, frequent = lm_score.train(docs)
-    got = {x.doc_id: x for x in lm_score.scored(documents(rows[:20] + shuffled + [(5, None), (6, "")]), net, frequent).collect()}
-    assert all(got[i].mean_log_likelihood > got[1000 + i].mean_log_likelihood + 0.2 for i in range(20) if i not in (5, 6))
-    assert got[6].n_tokens == 0 and got[6].log_likelihood == 0 and got[6].mean_log_likelihood is None
+    got = {x.doc_id: x for x in lm_score.scored(documents(rows[:20] + shuffled + [(2005, None), (2006, "")]), net, frequent).collect()}
+    assert all(got[i].mean_log_likelihood > got[1000 + i].mean_log_likelihood + 0.2 for i in range(20))
+    for i in (2005, 2006):
+        assert got[i].n_tokens == 0 and got[i].log_likelihood == 0 and got[i].mean_log_likelihood is None
     assert lm_score.pseudo_likelihood(docs.limit(0)).collect() == []
 
 
@@ -222,6 +257,8 @@ def test_any_markup_is_read():
     for _ in range(3000):
         html_text.visible_text("".join(r.choices(bits, k=r.randrange(40))))
     assert html_text.visible_text("<div>" * 50_000 + "deep") == "deep"
+    hidden = "<script>x()</script><p hidden>h<b>i</b></p><style>p{}</style>v<div hidden>" + "<i>" * 9_000 + "x" + "</i>" * 9_000 + "</div>w"
+    assert html_text.visible_text("<div>" * 20_000 + hidden) == "vw"
 
 
 def test_pages(spark):
