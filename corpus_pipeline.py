@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, near_dedup, packing, pii, toxicity
+from footfall.llm.columns import fresh
 from footfall.settings import materialize
 
 # Near duplicates share this many hundredths of their five-word shingles.
@@ -28,14 +29,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose score reaches the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.scored(docs, toxicity.fit(docs, labels))
-    return scored.where(F.col("toxic_score") < toxicity.THRESHOLD).select(docs.columns)
+    score, passages = scored.columns[-2:]
+    return scored.where(F.col(score) < toxicity.THRESHOLD).drop(score, passages)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, the one with the smallest id; rows without an id stay."""
-    judged = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
-    dropped = judged.where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each group of near duplicates, one with the smallest id; any id comes before none.
+
+    Rows are told apart by their place in the input, so of repeated rows one
+    stays, too, whatever their ids. Rows without words are like nothing: all stay.
+    """
+    row = fresh("row", docs.columns)
+    # Written with its number, so that a row has one only.
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    judged = near_dedup.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), percent=NEAR_PERCENT)
+    named = numbered.select(F.col(row).alias("number"), F.col("doc_id").alias("id"))
+    groups = judged.select(F.col("doc_id").alias("number"), "component_id").join(named, "number")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "number"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.number").alias(row))
+    return numbered.join(kept, row, "left_semi").drop(row)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

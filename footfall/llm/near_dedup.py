@@ -4,7 +4,8 @@ A document's set holds its distinct five-word shingles. A few small collections
 of minhashes are computed, and the keys of the tables are all pairs of
 collections: with m collections of k minhashes there are m(m-1)/2 tables for
 m*k minhashes, about the square root of what independent tables need. Two
-documents meet in a table when at least two of their collections agree.
+documents meet in a table when at least two of their collections agree. Only
+collections that agree with some other document's give keys.
 
 Documents with equal sets are one class, represented by its smallest doc_id.
 Representatives that share a table key are candidates. First each is held
@@ -23,11 +24,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
@@ -39,14 +39,16 @@ SHINGLE = 5
 PERCENT = 85
 # Minhashes in a collection.
 ROWS = 3
-# Chance that a pair just at the limit meets in no table.
+# Chance that a pair just at the limit is missed: one half that it meets in no table, one that its sketches differ too much.
 MISS = 1e-4
-# One-bit minhashes of a candidate, and the standard errors by which a pair may miss the limit.
+# One-bit minhashes of a candidate.
 BITS = 1024
-MARGIN = 3.8
+# Collections are bits of a long, tables the last bits of a key.
+MOST_COLLECTIONS = 62
+TABLE_BITS = 16
 SEED = 20240117
 
-# Texts sent to a Python worker at once, which bounds what it holds.
+# Texts a Python worker turns into sets at once.
 BATCH_TEXTS = 1_000
 
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, minhashes array<int>"
@@ -61,16 +63,11 @@ def collections_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return m
 
 
-@contextmanager
-def _small_batches(spark: SparkSession, rows: int = BATCH_TEXTS):
-    """For jobs that run inside: Arrow batches of fewer rows than the session's."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def _few(batches: Iterator[pa.RecordBatch], rows: int = BATCH_TEXTS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of fewer texts, which bounds what is made of them at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def shingles(text: bytes, memory, k: int = SHINGLE) -> np.ndarray:
@@ -98,7 +95,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = hash_memory()
-        for batch in batches:
+        for batch in _few(batches):
             n = batch.num_rows
             sizes, a, b = (np.zeros(n, np.int64) for _ in range(3))
             offsets, found = np.zeros(n + 1, np.int32), []
@@ -138,7 +135,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = hash_memory()
-        for batch in batches:
+        for batch in _few(batches):
             grams = [shingles(t, memory) for t in texts_of(batch, "text")]
             offsets = np.concatenate(([0], np.cumsum([len(g) for g in grams]))).astype(np.int32)
             values = np.concatenate(grams).view(np.int64) if grams else np.empty(0, np.int64)
@@ -166,21 +163,53 @@ def _collections(m: int, rows: int):
     return F.array(*[F.hash(*[F.col("minhashes")[i * rows + r] for r in range(rows)]) for i in range(m)])
 
 
-def _table_keys(reps: DataFrame, m: int) -> DataFrame:
-    """A row for every table: the key of two collections, with the table's number as its last byte."""
-    tables = F.array(
-        *[F.struct(F.lit(n).alias("n"), F.lit(i).alias("i"), F.lit(j).alias("j")) for n, (i, j) in enumerate(_tables(m))]
-    )
-    of = F.xxhash64("t.n", F.col("parts")[F.col("t.i")], F.col("parts")[F.col("t.j")])
-    return reps.select("rep", "parts", F.explode(tables).alias("t")).select(
-        "rep", (F.shiftleft(of, 8)).bitwiseOR(F.col("t.n").cast("long")).alias("key")
+def _agreeing(reps: DataFrame) -> DataFrame:
+    """(rep, agreeing): the collections of a document that another one agrees with, if there are two of them.
+
+    Two documents that meet in a table agree in both of its collections, so no
+    meeting is lost, and a document unlike all others has no keys at all.
+    """
+    each = reps.select("rep", F.posexplode("parts").alias("collection", "value"))
+    value = ["collection", "value"]
+    shared = each.groupBy(*value).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*value)
+    return (
+        each.join(shared, value, "left_semi")
+        .groupBy("rep")
+        .agg(F.sort_array(F.collect_list(F.struct(*value))).alias("agreeing"))
+        .where(F.size("agreeing") > 1)
     )
 
 
-def _alike(a: str, b: str, percent: int):
+def _table_keys(agreeing: DataFrame, m: int) -> DataFrame:
+    """A row for every table: the key of two collections, with the table's number as its last two bytes."""
+
+    def key(x: Column, y: Column) -> Column:
+        i, j = x["collection"], y["collection"]
+        number = (i * m - F.call_function("div", i * (i + 1), F.lit(2)) + j - i - 1).cast("long")
+        return F.shiftleft(F.xxhash64(number, x["value"], y["value"]), TABLE_BITS).bitwiseOR(number)
+
+    def with_later(x: Column, at: Column) -> Column:
+        later = F.slice("agreeing", at + 2, F.size("agreeing"))
+        return F.transform(F.filter(later, lambda y: y["collection"] > x["collection"]), lambda y: key(x, y))
+
+    return agreeing.select("rep", F.explode(F.flatten(F.transform("agreeing", with_later))).alias("key"))
+
+
+def _most_differing(percent: int, miss: float) -> int:
+    """The bits in which the sketches of a pair just at the limit differ at most, but for the given chance."""
+    p = (1 - percent / 100) / 2
+    chance, k = 0.0, BITS
+    while k > 0:
+        log = math.lgamma(BITS + 1) - math.lgamma(k + 1) - math.lgamma(BITS - k + 1)
+        chance += math.exp(log + k * math.log(p) + (BITS - k) * math.log1p(-p)) if p else 0.0
+        if chance > miss:
+            break
+        k -= 1
+    return k
+
+
+def _alike(a: str, b: str, most: int) -> Column:
     """Whether the sketches leave a fair chance that the pair is linked."""
-    p = (1 + percent / 100) / 2
-    most = math.ceil(BITS * (1 - p) + MARGIN * math.sqrt(BITS * p * (1 - p)))
     differing = sum(F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64))
     return differing <= most
 
@@ -191,7 +220,8 @@ def _first_shared(a: str, b: str, m: int):
     The columns ``low`` and ``first`` are the bits of the collections under the
     third one, and the bits of the other two.
     """
-    equal = sum(F.when(F.col(f"{a}.parts")[i] == F.col(f"{b}.parts")[i], 1 << i).otherwise(0) for i in range(m))
+    bit = lambda i: F.lit(1 << i).cast("long")
+    equal = sum(F.when(F.col(f"{a}.parts")[i] == F.col(f"{b}.parts")[i], bit(i)).otherwise(F.lit(0)) for i in range(m))
     return equal.bitwiseAND(F.col(f"{a}.low")) == F.col(f"{a}.first")
 
 
@@ -213,9 +243,11 @@ def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    m = collections_for(percent, rows, miss)
-    with _small_batches(docs.sparkSession):
-        signed = materialize(signatures(docs, m * rows), "signatures")
+    m = collections_for(percent, rows, miss / 2)
+    if m > MOST_COLLECTIONS:
+        raise ValueError(f"{m} collections are more than {MOST_COLLECTIONS}; take fewer rows, or a larger chance of a miss")
+    most = _most_differing(percent, miss / 2)
+    signed = materialize(signatures(docs, m * rows), "signatures")
     classes = materialize(
         signed.where("doc_id is not null and n_shingles > 0")
         .groupBy("set_a", "set_b", "n_shingles")
@@ -224,12 +256,11 @@ def near_duplicates(
     )
     # A doc_id with several texts may stand for several classes; each keeps its minhashes.
     reps = classes.select("rep", _collections(m, rows).alias("parts"))
-    keys = _table_keys(reps, m)
+    keys = _table_keys(materialize(_agreeing(reps), "agreeing"), m)
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     met = materialize(keys.join(shared, "key"), "met")
     members = met.select("rep").distinct()
-    with _small_batches(docs.sparkSession):
-        sets = materialize(_sets(docs, members), "sets")
+    sets = materialize(_sets(docs, members), "sets")
     sketches = sets.select("rep", "sketch")
 
     ends = F.explode(F.array("least", "most"))
@@ -238,7 +269,7 @@ def near_duplicates(
     likely = (
         stars.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("of_a")), "a")
         .join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("of_b")), "b")
-        .where(_alike("of_a", "of_b", percent))
+        .where(_alike("of_a", "of_b", most))
         .select("a", "b")
     )
     links = materialize(_confirmed(likely, sets, percent), "links")
@@ -249,7 +280,7 @@ def near_duplicates(
     )
     apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     tables = _tables(m)
-    table = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+    table = F.col("key").bitwiseAND(F.lit((1 << TABLE_BITS) - 1)).cast("int")
     thirds = F.array(*[F.array(*[F.lit(k) for k in range(j + 1, m)]).cast("array<int>") for _, j in tables])
     finer = materialize(
         placed.join(apart.select("key"), "key", "left_semi")
@@ -259,8 +290,8 @@ def near_duplicates(
             F.xxhash64("key", "third", F.col("parts")[F.col("third")]).alias("key"),
             "rep",
             "component",
-            F.array(*[F.lit((1 << i) + (1 << j)) for i, j in tables])[table].alias("first"),
-            F.array(*[F.lit((1 << k) - 1) for k in range(m)])[F.col("third")].alias("low"),
+            F.array(*[F.lit((1 << i) + (1 << j)).cast("long") for i, j in tables])[table].alias("first"),
+            F.array(*[F.lit((1 << k) - 1).cast("long") for k in range(m)])[F.col("third")].alias("low"),
         ),
         "finer",
     )
@@ -275,7 +306,7 @@ def near_duplicates(
         & (F.col("one.rep") > F.col("two.rep"))
         & (F.col("one.component") != F.col("two.component"))
         & _first_shared("one", "two", m)
-        & _alike("one.sketch", "two.sketch", percent),
+        & _alike("one.sketch", "two.sketch", most),
     ).select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
     more = materialize(_confirmed(across, sets, percent), "more")
     # Classes that share a representative and documents of one class are linked as well.

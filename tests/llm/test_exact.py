@@ -22,6 +22,46 @@ def test_near_duplicates(documents, corpus):
     assert rows_of(got) == sorted(brute.near(corpus, 80))
 
 
+def test_recall_of_near_duplicates(spark):
+    """Links of every document whose id is divisible by 20, against all documents, by brute force."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    component = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    memory = near_dedup.hash_memory()
+    sets = {r.doc_id: near_dedup.shingles((r.text or "").encode(), memory) for r in docs.select("doc_id", "text").collect()}
+    having = defaultdict(list)
+    for d, grams in sets.items():
+        for g in grams.tolist():
+            having[g].append(d)
+    links = []
+    for d in (d for d in sets if d % 20 == 0):
+        common = defaultdict(int)
+        for g in sets[d].tolist():
+            for other in having[g]:
+                common[other] += 1
+        n = len(sets[d])
+        links += [(d, o) for o, c in common.items() if o != d and 100 * c >= 85 * (n + len(sets[o]) - c)]
+    found = sum(component[a] == component[b] for a, b in links)
+    print(f"recall {found} of {len(links)}")
+    assert links and found >= 0.999 * len(links)
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90])
+def test_a_miss_has_one_chance_for_tables_and_sketches(percent):
+    from math import comb
+
+    p, m = (percent / 100) ** near_dedup.ROWS, near_dedup.collections_for(percent, miss=near_dedup.MISS / 2)
+    no_table = sum(comb(m, i) * p**i * (1 - p) ** (m - i) for i in range(3))
+    most, q = near_dedup._most_differing(percent, near_dedup.MISS / 2), (1 - percent / 100) / 2
+    apart = sum(comb(near_dedup.BITS, k) * q**k * (1 - q) ** (near_dedup.BITS - k) for k in range(most + 1, near_dedup.BITS + 1))
+    assert no_table + apart <= near_dedup.MISS
+
+
+def test_near_duplicates_at_low_similarity(documents, corpus):
+    """More than 255 tables."""
+    got = near_dedup.near_duplicates(documents(corpus), percent=70)
+    assert rows_of(got) == sorted(brute.near(corpus, 70))
+
+
 def test_near_duplicates_of_odd_rows(documents):
     text = "a b c d e f g h"
     odd = documents([(None, text), (None, text), (3, text), (3, text), (7, text.upper()), (9, None)])
@@ -59,6 +99,22 @@ def test_substring_paths_over_many_chunks(documents, corpus, chunk):
     assert {d: len(s) for d, s in removed.items()} == want
 
 
+@pytest.mark.parametrize("chunk", [1, substrings.CHUNK])
+def test_rows_of_one_id_with_different_texts(documents, chunk):
+    """Each loses its own repeated words, and neither repeats the other."""
+    shared, own = (" ".join(f"{c}{i}" for i in range(60)) for c in "sz")
+    rows = [(1, f"{shared} one"), (5, own), (5, f"x {shared}"), (5, f"x {shared}"), (5, f"{own} y"), (9, f"{own} s1")]
+    docs = documents(rows, 4)
+    spans = substrings.repeated_spans(docs, chunk=chunk)
+    paths = {(p.doc_id, p.start, p.end, p.source, p.source_start) for p in substrings.compacted(spans).collect()}
+    assert paths == {(5, 1, 61, 1, 0), (9, 0, 60, 5, 0)}
+    removed = rows_of(substrings.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept"))
+    assert removed == sorted(
+        [(1, 61, 0, f"{shared} one".encode()), (5, 60, 0, own.encode()), (5, 61, 60, b"x"), (5, 61, 60, b"x"),
+         (5, 61, 0, f"{own} y".encode()), (9, 61, 60, b"s1")]
+    )
+
+
 @pytest.mark.parametrize("chunk", [1, substrings.CHUNK])
 def test_a_passage_twice_in_one_document(documents, chunk):
     """Both places go when a document with a smaller id has the passage, in another chunk or the same one."""

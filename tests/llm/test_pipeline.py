@@ -60,7 +60,19 @@ def test_near_pairs_at_the_limit_meet_as_in_op3(monkeypatch, spark):
     collections_for = P.near_dedup.collections_for
     monkeypatch.setattr(P.near_dedup, "collections_for", lambda *a: asked.append(collections_for(*a)) or asked[-1])
     P.drop_near_duplicates(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(5), SF)
-    assert asked == [collections_for(P.NEAR_PERCENT, miss=1e-4)]
+    assert asked == [collections_for(P.NEAR_PERCENT, miss=5e-5)]
+
+
+def test_of_repeated_rows_one_stays(spark):
+    """Also of those that share an id, or have none; rows without words stay all."""
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(7, words)] * 5 + [(None, words.upper())] * 3 + [(9, words + " x"), (None, "alone at last"), (None, "alone at last")]
+    rows += [(1, None), (1, ""), (1, ""), (3, "some other text"), (3, "which is not like it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).repartition(3)
+    got = P.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    wanted = [(7, words), (None, "alone at last"), (1, None), (1, ""), (1, ""), (3, "some other text"), (3, "which is not like it")]
+    assert sorted(map(str, wanted)) == sorted(str((r.doc_id, r.text)) for r in got.collect())
 
 
 def test_no_benchmark_passage_is_left(stages, spark):
