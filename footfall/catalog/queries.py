@@ -770,26 +770,31 @@ _SLIDING = schemas.StructType(
 )
 
 
-def _replay_windows(spark, sf_dir, counted, rule: str, mode: str) -> DataFrame:
-    table = KeyedTable(scratch_path(spark, "sliding"), _SLIDING, rule, ["window_start", "ad_id"])
-
+def _sliding_counts(counted, write, mode: str):
     def start(lines, out, checkpoint):
-        counts = counted(ad_log.parse_ad_log(lines))
-        return ad_stream.start_update(counts, table.upsert, checkpoint, mode, trigger=ONCE)
+        return ad_stream.start_update(counted(ad_log.parse_ad_log(lines)), write, checkpoint, mode, trigger=ONCE)
 
-    _replay(spark, sf_dir, start)
-    return table.read(spark)
+    return start
 
 
 @query("stream_ad_sliding")
 def stream_ad_sliding(spark, sf_dir):
-    return _replay_windows(spark, sf_dir, ad_stream.hopping_counts, "replace", "update")
+    table = KeyedTable(scratch_path(spark, "sliding"), _SLIDING, "replace", ["window_start", "ad_id"])
+    _replay(spark, sf_dir, _sliding_counts(ad_stream.hopping_counts, table.upsert, "update"))
+    return table.read(spark)
 
 
 @query("stream_ad_sliding_seconds")
 def stream_ad_sliding_seconds(spark, sf_dir):
     """An hour every ten seconds: the closed windows of each ad and day, and their clicks."""
-    windows = _replay_windows(spark, sf_dir, ad_stream.sliding_counts, "new_keys", "append")
+    path = scratch_path(spark, "sliding")
+
+    def write(batch_id: int, batch: DataFrame) -> None:
+        # Every window comes once, so a batch is a folder of its own.
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    _replay(spark, sf_dir, _sliding_counts(ad_stream.sliding_counts, write, "append"))
+    windows = spark.read.schema(_SLIDING).parquet(path)
     return windows.groupBy(F.to_date("window_start").alias("date"), "ad_id").agg(
         F.count(F.lit(1)).alias("window_count"),
         F.sum("click_count").alias("click_count"),
