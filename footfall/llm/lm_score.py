@@ -39,6 +39,8 @@ FREQUENT = 768
 SIDE = 2
 WIDTH = 16
 BLOCK = 16_384
+# Documents encoded as one row.
+BLOCK_TEXTS = 2_000
 RATE = 0.1
 ROUNDS = 2
 SEED = 7
@@ -63,34 +65,28 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Vocabulary(NamedTuple):
-    """The words with an id of their own, by rank; key and count of every other word; the tokens of each bucket."""
+    """The keys of words with an id of their own, by rank; key and count of every other word; the tokens of each bucket."""
 
-    frequent: list[bytes]
+    frequent: list[int]
     rest: DataFrame
     tokens: dict[int, int]
 
 
 def bucket_key(word: bytes) -> int:
-    """A long for a word without an id of its own: its bucket's id in the last ten bits, a hash above."""
+    """A long that stands for a word: its bucket's id in the last ten bits, a hash above."""
     key = (xxhash.xxh64_intdigest(word) * VOCABULARY + FREQUENT + zlib.crc32(word) % (VOCABULARY - FREQUENT)) % 2**64
     return key - 2**64 if key >= 2**63 else key
 
 
 def vocabulary(docs: DataFrame, most: int = FREQUENT) -> Vocabulary:
-    """All words of all documents; the most frequent ones with ties by the word."""
+    """All words of all documents, by their keys; the most frequent ones with ties by the key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter: Counter = Counter()
 
         def emitted() -> pa.RecordBatch:
-            return pa.record_batch(
-                [
-                    pa.array(list(counter), pa.binary()),
-                    pa.array(list(counter.values()), pa.int64()),
-                    pa.array(map(bucket_key, counter), pa.int64()),
-                ],
-                names=["word", "n", "key"],
-            )
+            keys = pa.array(map(bucket_key, counter), pa.int64())
+            return pa.record_batch([keys, pa.array(list(counter.values()), pa.int64())], names=["key", "n"])
 
         for batch in batches:
             for text in texts_of(batch, "text"):
@@ -100,11 +96,10 @@ def vocabulary(docs: DataFrame, most: int = FREQUENT) -> Vocabulary:
                     counter.clear()
         yield emitted()
 
-    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n long, key long")
-    counts = materialize(counts.groupBy("word", "key").agg(F.sum("n").alias("n")), "words")
-    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
-    rest = counts.where(~F.col("key").isin([bucket_key(w) for w in top]))
-    rest = rest.groupBy("key").agg(F.sum("n").alias("n"))
+    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "key long, n long")
+    counts = materialize(counts.groupBy("key").agg(F.sum("n").alias("n")), "words")
+    top = [r.key for r in counts.orderBy(F.desc("n"), "key").limit(most).collect()]
+    rest = counts.where(~F.col("key").isin(top))
     bucket = F.col("key").bitwiseAND(F.lit(VOCABULARY - 1)).alias("bucket")
     tokens = rest.groupBy(bucket).agg(F.sum("n").alias("n")).collect()
     return Vocabulary(top, rest, {r.bucket: r.n for r in tokens})
@@ -119,21 +114,19 @@ def initial() -> Net:
 
 
 class Ids:
-    """Keys of words: the rank of the frequent ones, the others' bucket keys. A key's last ten bits are the id."""
+    """Numbers of words: the rank of the frequent ones, the others' keys. A number's last ten bits are the id."""
+
+    def __init__(self, frequent: list[int]):
+        rank = {key: i for i, key in enumerate(frequent)}
 
-    def __init__(self, frequent: list[bytes]):
-        rank = {w: i for i, w in enumerate(frequent)}
-        self.memory = Remembered(lambda w: rank[w] if w in rank else bucket_key(w))
+        def number(word: bytes) -> int:
+            key = bucket_key(word)
+            return rank.get(key, key)
 
-    def padded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts with padding around each, the places of the tokens, and each token's text."""
-        keys, places, owners = self.keyed(texts)
-        ids = np.full(len(keys), PAD, np.int64)
-        ids[places] = keys[places] & (VOCABULARY - 1)
-        return ids, places, owners
+        self.memory = Remembered(number)
 
     def keyed(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same with the words' keys for their ids."""
+        """Numbers of all texts' words with padding around each text, the places of the tokens, and each token's text."""
         ids, places, owners = [np.full(SIDE, PAD, np.int64)], [], []
         at = SIDE
         for k, text in enumerate(texts):
@@ -240,27 +233,81 @@ def _shaped(values: np.ndarray) -> Net:
     return out
 
 
-def _round(texts: DataFrame, net: Net, frequent: list[bytes], number: int, rounds: int) -> Net:
+ENCODED = (
+    "rows array<long>, doc_ids array<long>, tokens array<int>, ids binary, rare array<int>, words binary, times binary, "
+    "keys array<long>"
+)
+
+
+def encoded(docs: DataFrame, frequent: list[int]) -> DataFrame:
+    """The documents as numbers, one row for each batch of them, with its ``block``.
+
+    ``ids`` holds the ids of all tokens, with padding around each document of
+    ``tokens`` tokens. ``keys`` are the block's words without an id of their own;
+    ``words`` and ``times`` say for each document in turn which of them it has,
+    ``rare`` many, and how often.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys_of = Ids(sent.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_TEXTS):
+                part = batch.slice(at, BLOCK_TEXTS)
+                n = part.num_rows
+                keys, places, owners = keys_of.keyed(texts_of(part, "text"))
+                ids = np.full(len(keys), PAD, np.uint16)
+                ids[places] = keys[places] & (VOCABULARY - 1)
+                rare = ids[places] >= FREQUENT
+                known, word = np.unique(keys[places][rare], return_inverse=True)
+                pair, times = np.unique(owners[rare] * max(1, len(known)) + word, return_counts=True)
+                owner, word = np.divmod(pair, max(1, len(known)))
+                one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                columns = [
+                    one(part.column(0)),
+                    one(part.column(1)),
+                    one(pa.array(np.bincount(owners, minlength=n), pa.int32())),
+                    pa.array([ids.astype("<u2").tobytes()], pa.binary()),
+                    one(pa.array(np.bincount(owner, minlength=n), pa.int32())),
+                    pa.array([word.astype("<i4").tobytes()], pa.binary()),
+                    pa.array([times.astype("<i4").tobytes()], pa.binary()),
+                    one(pa.array(known, pa.int64())),
+                ]
+                yield pa.record_batch(columns, names=[c.split()[0] for c in ENCODED.split(", ")])
+
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")
+    )
+    # Written once, so that texts are read and rows are numbered once.
+    return materialize(texts.mapInArrow(run, ENCODED).withColumn("block", F.monotonically_increasing_id()), "encoded")
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(ids != PAD)
+
+
+def _round(blocks: DataFrame, net: Net, number: int, rounds: int) -> Net:
     """One round: every task trains on its share of blocks, and the copies are averaged."""
-    sent = texts.sparkSession.sparkContext.broadcast((_flat(net), frequent))
+    sent = blocks.sparkSession.sparkContext.broadcast(_flat(net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, words = sent.value
-        ids_of, trainer, tokens, blocks = Ids(words), Trainer(_shaped(values)), 0, 0
+        trainer, tokens, seen = Trainer(_shaped(sent.value)), 0, 0
         for batch in batches:
-            ids, places, _ = ids_of.padded(texts_of(batch, "text"))
-            for start in range(0, len(places), BLOCK):
-                blocks += 1
-                if blocks % rounds == number:
-                    trainer.block(ids, places[start : start + BLOCK])
-                    tokens += len(places[start : start + BLOCK])
+            for stored in batch.column(0):
+                ids = np.frombuffer(stored.as_py(), "<u2").astype(np.int64)
+                places = _places(ids)
+                for start in range(0, len(places), BLOCK):
+                    seen += 1
+                    if seen % rounds == number:
+                        trainer.block(ids, places[start : start + BLOCK])
+                        tokens += len(places[start : start + BLOCK])
         if tokens:
             flat = _flat(trainer.net).astype(np.float64) * tokens
             yield pa.record_batch(
                 [pa.array([tokens], pa.int64()), pa.array([flat], pa.list_(pa.float64()))], names=["tokens", "sums"]
             )
 
-    copies = texts.mapInArrow(run, "tokens long, sums array<double>")
+    copies = blocks.select("ids").mapInArrow(run, "tokens long, sums array<double>")
     # Summed place by place before and after the shuffle; a copy has a fixed size.
     summed = (
         copies.select("tokens", F.posexplode("sums").alias("place", "value"))
@@ -276,103 +323,73 @@ def _round(texts: DataFrame, net: Net, frequent: list[bytes], number: int, round
     return _shaped(values)
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Net, Vocabulary]:
-    texts = docs.select(F.col("text").cast("binary").alias("text"))
-    known = vocabulary(docs)
+def _trained(blocks: DataFrame, rounds: int = ROUNDS) -> Net:
     net = initial()
     for number in range(rounds):
-        net = _round(texts, net, known.frequent, number, rounds)
-    return net, known
-
-
-_PARTS = pa.schema(
-    [
-        ("row", pa.int64()),
-        ("doc_id", pa.int64()),
-        ("n_tokens", pa.int64()),
-        ("value", pa.float64()),
-        ("key", pa.int64()),
-        ("n", pa.int64()),
-    ]
-)
+        net = _round(blocks, net, number, rounds)
+    return net
+
+
+def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Net, Vocabulary]:
+    known = vocabulary(docs)
+    return _trained(encoded(docs, known.frequent), rounds), known
 
 
 def scored(docs: DataFrame, net: Net, known: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, log_likelihood, mean_log_likelihood of every row."""
+    return _scored(encoded(docs, known.frequent), net, known)
+
+
+def pseudo_likelihood(docs: DataFrame) -> DataFrame:
+    known = vocabulary(docs)
+    blocks = encoded(docs, known.frequent)
+    return _scored(blocks, _trained(blocks), known)
+
+
+def _scored(blocks: DataFrame, net: Net, known: Vocabulary) -> DataFrame:
     totals = np.zeros(VOCABULARY, np.int64)
     for bucket, n in known.tokens.items():
         totals[bucket] = n
     # Every bucket has one token more, for the words that the corpus does not have.
-    sent = docs.sparkSession.sparkContext.broadcast((_flat(net), known.frequent, np.log(totals + 1)))
+    sent = blocks.sparkSession.sparkContext.broadcast((_flat(net), np.log(totals + 1)))
+    # A block's words meet their counts once, however many documents have them; a word that is there once adds nothing.
+    counts = known.rest.where("n > 1").select("key", F.log("n").alias("log_n"))
+    shares = (
+        blocks.select("block", F.explode("keys").alias("key"))
+        .join(counts, "key")
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("key", "log_n")).alias("shares"))
+        .select("block", F.col("shares.key").alias("found"), F.col("shares.log_n").alias("log_n"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, words, buckets = sent.value
-        keys_of, own = Ids(words), _shaped(values)
+        values, buckets = sent.value
+        own = _shaped(values)
         for batch in batches:
-            n = batch.num_rows
-            keys, places, owners = keys_of.keyed(texts_of(batch, "text"))
-            ids = np.full(len(keys), PAD, np.int64)
-            ids[places] = keys[places] & (VOCABULARY - 1)
-            value = log_probabilities(own, ids, places)
-            rare = ids[places] >= FREQUENT
-            value = value.astype(np.float64)
-            value[rare] -= buckets[ids[places][rare]]
-            tokens = np.bincount(owners, minlength=n)
-            rows = batch.column(0).to_numpy()
-            yield pa.record_batch(
-                [
-                    batch.column(0), batch.column(1), pa.array(tokens.astype(np.int64)),
-                    pa.array(np.bincount(owners, value, n)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                ],
-                schema=_PARTS,
-            )
-            # A row for each of a document's words whose count is still to come.
-            key, owner = keys[places][rare], owners[rare]
-            order = np.lexsort((key, owner))
-            key, owner = key[order], owner[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-            starts = np.flatnonzero(new)
-            m = len(starts)
-            yield pa.record_batch(
-                [
-                    pa.array(rows[owner[starts]], pa.int64()), pa.nulls(m, pa.int64()), pa.array(np.zeros(m, np.int64)),
-                    pa.array(np.zeros(m)), pa.array(key[starts]), pa.array(np.diff(np.append(starts, len(key)))),
-                ],
-                schema=_PARTS,
-            )
-
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")
-    )
-    # Written once, so that a row has one number.
-    parts = materialize(
-        texts.mapInArrow(run, "row long, doc_id long, n_tokens long, value double, key long, n long"), "scored"
+            for row in range(batch.num_rows):
+                stored = {name: batch.column(k)[row] for k, name in enumerate(batch.schema.names)}
+                lists = ("doc_ids", "tokens", "rare", "keys", "found", "log_n")
+                doc_ids, tokens, rare, keys, found, log_n = (stored[k].values for k in lists)
+                tokens, rare, keys = tokens.to_numpy(), rare.to_numpy(), keys.to_numpy()
+                n = len(tokens)
+                ids = np.frombuffer(stored["ids"].as_py(), "<u2").astype(np.int64)
+                places = _places(ids)
+                value = log_probabilities(own, ids, places).astype(np.float64)
+                in_bucket = ids[places] >= FREQUENT
+                value[in_bucket] -= buckets[ids[places][in_bucket]]
+                total = np.bincount(np.repeat(np.arange(n), tokens), value, n)
+                share = np.zeros(len(keys))
+                if found is not None:
+                    share[np.searchsorted(keys, found.to_numpy())] = log_n.to_numpy()
+                word, times = (np.frombuffer(stored[k].as_py(), "<i4") for k in ("words", "times"))
+                total += np.bincount(np.repeat(np.arange(n), rare), share[word] * times, n)
+                mean = [float(t) / int(m) if m else None for t, m in zip(total, tokens, strict=True)]
+                yield pa.record_batch(
+                    [doc_ids, pa.array(tokens, pa.int64()), pa.array(total), pa.array(mean, pa.float64())],
+                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                )
+
+    columns = ["doc_ids", "tokens", "ids", "rare", "words", "times", "keys", "found", "log_n"]
+    return blocks.join(shares, "block", "left").select(*columns).mapInArrow(
+        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
     )
-    counts = known.rest.select("key", F.log("n").alias("log_n"))
-    words = parts.where("key is not null").select("row", "key", "n").join(counts, "key", "left")
-    words = words.select(
-        "row",
-        F.lit(None).cast("long").alias("doc_id"),
-        F.lit(0).cast("long").alias("n_tokens"),
-        (F.col("n") * F.coalesce("log_n", F.lit(0.0))).alias("value"),
-    )
-    return (
-        parts.where("key is null")
-        .select("row", "doc_id", "n_tokens", "value")
-        .unionByName(words)
-        .groupBy("row")
-        .agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("value").alias("log_likelihood"))
-        # In the order of the input.
-        .orderBy("row")
-        .select(
-            "doc_id",
-            "n_tokens",
-            "log_likelihood",
-            F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"),
-        )
-    )
-
-
-def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    return scored(docs, *train(docs))
