@@ -1,24 +1,21 @@
 """Running ad-click statistics: two streaming queries over one log.
 
-The first counts clicks per user and ad in Spark's state, blacklists users there
-who reach the threshold, and brings the other tables up to date batch by batch,
+The first brings its tables up to date batch by batch: clicks per user and ad,
+whose totals blacklist the users who reach the threshold, and the statistics,
 because a blacklisted user is left out from the next batch on. The second counts
-clicks per minute, also in Spark's state, on the unfiltered log.
+clicks per minute, in Spark's state, on the unfiltered log.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import pandas as pd
-import pyarrow as pa
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from footfall import schemas
 from footfall.operators import ads
@@ -27,7 +24,7 @@ from footfall.sources.ad_log import parse_ad_log
 
 BATCH_INTERVAL = "5 seconds"
 TREND_DELAY = "60 minutes"
-# A user's count of an ad on a day is forgotten when it has not grown for so long.
+# Without effect, see start_statistics.
 FORGET_HOURS = 72
 USER_KEYS = ["date", "user_id", "ad_id"]
 PLACE_KEYS = ["date", "province", "city", "ad_id"]
@@ -58,7 +55,7 @@ class AdTables:
 
     @property
     def user_clicks(self) -> KeyedTable:
-        return self._table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "replace", USER_KEYS)
+        return self._table("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "increment", USER_KEYS)
 
     @property
     def blacklist(self) -> KeyedTable:
@@ -103,51 +100,8 @@ class AdTables:
 
 
 def _summed(clicks: DataFrame) -> DataFrame:
-    """Clicks counted per place, user and ad in every task's batches of rows.
-
-    A user or an ad that most clicks belong to is a few rows from here on.
-    """
-    keys = ["date", "province", "city", "user_id", "ad_id"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counted = pa.Table.from_batches([batch]).group_by(keys).aggregate([([], "count_all")])
-            yield from counted.rename_columns([*keys, "click_count"]).combine_chunks().to_batches()
-
-    return clicks.select(*keys).mapInArrow(run, _SUMMED)
-
-
-def counted_clicks(clicks: DataFrame, forget_hours: int | None = FORGET_HOURS) -> DataFrame:
-    """Streaming: each batch's clicks per day, place, user and ad, with ``total``.
-
-    ``total`` is what the user has clicked the ad on that day so far, in all
-    places; it is kept in Spark's state, of which a batch touches its own keys
-    only. A count that has not grown for ``forget_hours`` goes; with None none
-    does, as a query needs that is to end when its log does: Spark runs batches
-    without end while counts wait for their time.
-    """
-    places = ["province", "city"]
-    millis = (forget_hours or 0) * 3_600_000
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if forget_hours else GroupStateTimeout.NoTimeout
-
-    def add(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        clicked = pd.concat(list(frames)).groupby(places, dropna=False, as_index=False)["click_count"].sum()
-        total = (state.get[0] if state.exists else 0) + int(clicked["click_count"].sum())
-        state.update((total,))
-        if millis:
-            state.setTimeoutDuration(millis)
-        yield clicked.assign(total=total, **dict(zip(USER_KEYS, key, strict=True)))[
-            ["date", *places, "user_id", "ad_id", "click_count", "total"]
-        ]
-
-    return (
-        _summed(clicks)
-        .groupBy(*USER_KEYS)
-        .applyInPandasWithState(add, f"{_SUMMED}, total long", "total long", "update", timeout)
-    )
+    """Clicks counted per place, user and ad; map tasks count their own first."""
+    return clicks.groupBy("date", "province", "city", "user_id", "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
 def process_batch(
@@ -157,11 +111,11 @@ def process_batch(
     threshold: int | None = ads.BLACKLIST_THRESHOLD,
     top_n: int = ads.TOP_ADS,
 ) -> None:
-    """Bring the tables up to date with one micro-batch of ``counted_clicks``.
+    """Bring the tables up to date with one micro-batch's clicks per day, place, user and ad.
 
-    Reads the blacklist and the parts of tables that the batch's keys fall in.
-    A user's clicks up to the batch that blacklists them were all counted, so
-    the totals of users who are not on the list hold nothing that was left out.
+    Reads the blacklist and the parts of tables that the batch's keys fall in. A
+    user's clicks of a day so far are those that the table of user clicks holds:
+    clicks up to the batch that blacklists the user are all counted there.
     Running a batch again gives the same tables. With ``threshold`` None nobody
     is blacklisted.
     """
@@ -171,7 +125,7 @@ def process_batch(
     try:
         if not allowed.take(1):
             return
-        by_user = allowed.groupBy(*USER_KEYS).agg(F.max("total").alias("click_count"))
+        by_user = allowed.groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
         by_place = allowed.groupBy(*PLACE_KEYS).agg(F.sum("click_count").alias("click_count"))
         by_province = ads.province_clicks(by_place)
 
@@ -180,11 +134,14 @@ def process_batch(
             touched = tables.province_clicks.read_touching(spark, by_province, ["date", "province"])
             tables.province_top.upsert(batch_id, ads.province_top_ads(touched, top_n))
 
-        steps = [lambda: tables.user_clicks.upsert(batch_id, by_user), lambda: tables.stat.upsert(batch_id, by_place), tops]
-        if threshold is not None:
-            black = ads.blacklisted_users(by_user, threshold)
-            steps.append(lambda: tables.blacklist.upsert(batch_id, black))
-        # The tables do not need each other, so their small jobs run side by side.
+        def users() -> None:
+            tables.user_clicks.upsert(batch_id, by_user)
+            if threshold is not None:
+                totals = tables.user_clicks.read_touching(spark, by_user, USER_KEYS)
+                tables.blacklist.upsert(batch_id, ads.blacklisted_users(totals, threshold))
+
+        steps = [users, lambda: tables.stat.upsert(batch_id, by_place), tops]
+        # These steps do not need each other, so their small jobs run side by side.
         with ThreadPoolExecutor(len(steps)) as pool:
             for done in [pool.submit(step) for step in steps]:
                 done.result()
@@ -201,15 +158,18 @@ def start_statistics(
     forget_hours: int | None = FORGET_HOURS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the query that keeps clicks, blacklist, statistics and tops."""
+    """Start the query that keeps clicks, blacklist, statistics and tops.
+
+    ``forget_hours`` has no effect: users' totals lie in the table of their
+    clicks, which keeps every day, and not in a state that has to be emptied.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, tables, threshold, top_n)
+        process_batch(_summed(batch), batch_id, tables, threshold, top_n)
 
     return (
-        counted_clicks(parse_ad_log(lines, metric="ad_log"), forget_hours)
+        parse_ad_log(lines, metric="ad_log")
         .writeStream.queryName("ad-statistics")
-        .outputMode("update")
         .foreachBatch(handle)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/statistics")
         .trigger(**(trigger or {"processingTime": BATCH_INTERVAL}))

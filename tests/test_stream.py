@@ -107,6 +107,20 @@ def test_running_a_batch_again_changes_nothing(spark, tmp_path):
     assert rows(tables.province_top.read(spark)) == top
 
 
+def test_totals_come_from_the_table_of_user_clicks(spark, tmp_path):
+    """No state beside the table, and no Python call per user and ad; the totals are those of all batches."""
+    tables = S.AdTables(str(tmp_path / "tables"))
+    batches = [[(0, "p", "c", 2, 1), (0, "q", "d", 2, 1)], [(1, "p", "c", 2, 1), (1, "p", "c", 3, 1)], [(2, "p", "c", 2, 1)]]
+    for number, frame in enumerate(counted(spark, batches)):
+        S.process_batch(frame.drop("total"), number, tables, threshold=3)
+    assert rows(tables.blacklist.read(spark)) == [(2,)]
+    assert [r[1:] for r in rows(tables.user_clicks.read(spark))] == [(2, 1, 3), (3, 1, 1)]
+    land(tmp_path / "log", 0, batches[0])
+    running = S.start_statistics(L.file_lines(spark, str(tmp_path / "log")), S.AdTables(str(tmp_path / "t")), str(tmp_path / "c"), trigger=ONCE)
+    running.awaitTermination()
+    assert running.recentProgress and not any(p.stateOperators for p in running.recentProgress)
+
+
 def test_threshold_edges(spark, tmp_path):
     tables = S.AdTables(str(tmp_path / "tables"))
     batches = [
