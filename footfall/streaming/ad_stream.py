@@ -8,14 +8,18 @@ clicks per minute, in Spark's state, on the unfiltered log.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from footfall import schemas
 from footfall.operators import ads
@@ -30,6 +34,8 @@ USER_KEYS = ["date", "user_id", "ad_id"]
 PLACE_KEYS = ["date", "province", "city", "ad_id"]
 MINUTE_KEYS = ["date", "hour", "minute", "ad_id"]
 TREND_METRIC = "ad_trend"
+# Window sizes of time whose sliding windows are one state of an ad.
+WINDOWS_TOGETHER = 6
 # How often a failed query is started again, and how often progress is stored.
 RESTARTS = 3
 RECORD_SECONDS = 60
@@ -202,25 +208,90 @@ def hopping_counts(
     )
 
 
+def _micros(duration: str) -> int:
+    return round(pd.Timedelta(duration).total_seconds() * 1_000_000)
+
+
+def _floor(number: str, step: int) -> str:
+    """SQL: the whole steps below ``number``."""
+    return f"({number} - pmod({number}, {step}L)) div {step}L"
+
+
+def _per_slide(clicks: DataFrame, slide_us: int) -> DataFrame:
+    """Clicks per ad and slide, counted in every task's batches of rows."""
+    keys = ["ad_id", "slide_number"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(keys).aggregate([([], "count_all")])
+            yield from counted.rename_columns([*keys, "clicks"]).combine_chunks().to_batches()
+
+    numbered = clicks.where("ts IS NOT NULL").selectExpr("ad_id", f"{_floor('unix_micros(ts)', slide_us)} AS slide_number")
+    return numbered.mapInArrow(run, "ad_id long, slide_number long, clicks long")
+
+
 def sliding_counts(
     clicks: DataFrame, size: str = "60 minutes", slide: str = "10 seconds", delay: str = TREND_DELAY
 ) -> DataFrame:
     """Streaming clicks per ad in overlapping windows, each once it is closed.
 
-    A first state counts clicks per slide; only the counts of slides that are
-    over go to the windows of the second one, so a click is repeated nowhere.
-    For append mode.
+    A state holds the clicks per slide of an ad and of ``WINDOWS_TOGETHER``
+    window sizes of time; the slides' running sum gives the windows that the
+    watermark has closed. So a slide is copied for two groups of windows at most
+    and not for every window, and a group forgets the slides that no open window
+    has. The delay counts in whole slides, rounded up. For append mode.
     """
-    per_slide = (
-        clicks.withWatermark("ts", delay)
-        .groupBy(F.window("ts", slide).alias("slide"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("clicks"))
-    )
-    return (
-        per_slide.groupBy(F.window(F.window_time("slide"), size, slide).alias("slot"), "ad_id")
-        .agg(F.sum("clicks").alias("click_count"))
-        .select(F.col("slot.start").alias("window_start"), "ad_id", "click_count")
+    size_us, slide_us, delay_us = _micros(size), _micros(slide), _micros(delay)
+    if not 0 < slide_us <= size_us:
+        raise ValueError("the slide must be positive and at most the window size")
+    # Slides of a window, and windows of a group; slides and windows are numbered from the epoch.
+    n = size_us // slide_us
+    together = n * WINDOWS_TOGETHER
+
+    def close(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ad_id, group = key[0], int(key[1])
+        slides, clicks, first = state.get if state.exists else ([], [], group * together)
+        slides, clicks = np.array(slides, np.int64), np.array(clicks, np.int64)
+        if not state.hasTimedOut:
+            for frame in frames:
+                given = np.concatenate([slides, frame["slide_number"].to_numpy(np.int64)])
+                added = np.concatenate([clicks, frame["clicks"].to_numpy(np.int64)])
+                slides, place = np.unique(given, return_inverse=True)
+                clicks = np.zeros(len(slides), np.int64)
+                np.add.at(clicks, place, added)
+        closed = (state.getCurrentWatermarkMs() * 1000 - size_us) // slide_us
+        end = (group + 1) * together
+        after = max(first, min(closed + 1, end))
+        windows = np.arange(first, after)
+        sums = np.concatenate([[0], np.cumsum(clicks)])
+        counts = sums[np.searchsorted(slides, windows + n)] - sums[np.searchsorted(slides, windows)]
+        kept = slides >= after
+        if kept.any() and after < end:
+            state.update((slides[kept].tolist(), clicks[kept].tolist(), int(after)))
+            # When the first open window that has clicks is over; a time-out comes with a watermark above its time.
+            over = max(int(after), int(slides[kept][0]) + 1 - n) * slide_us + size_us
+            state.setTimeoutTimestamp(-(-over // 1000) - 1)
+        elif state.exists:
+            state.remove()
+        some = counts > 0
+        yield pd.DataFrame({"window_number": windows[some], "ad_id": ad_id, "click_count": counts[some]})
+
+    # The last moment of a slide is its time: it is late when all of it is.
+    timed = _per_slide(clicks, slide_us).withColumn("at", F.expr(f"timestamp_micros((slide_number + 1) * {slide_us}L - 1)"))
+    first_group, last_group = _floor(f"(slide_number + 1 - {n})", together), _floor("slide_number", together)
+    closed = (
+        timed.withWatermark("at", f"{-(-delay_us // slide_us) * slide_us} microseconds")
+        .withColumn("window_group", F.explode(F.expr(f"sequence({first_group}, {last_group})")))
+        .groupBy("ad_id", "window_group")
+        .applyInPandasWithState(
+            close,
+            "window_number long, ad_id long, click_count long",
+            "slides array<long>, clicks array<long>, first long",
+            "append",
+            GroupStateTimeout.EventTimeTimeout,
+        )
     )
+    return closed.select(F.timestamp_micros(F.col("window_number") * slide_us).alias("window_start"), "ad_id", "click_count")
 
 
 def running_stat(clicks: DataFrame, delay: str | None = None) -> DataFrame:

@@ -254,6 +254,26 @@ def test_sliding_windows_close_with_the_watermark(spark, tmp_path):
     assert sorted(found) == wanted and wanted
 
 
+def test_a_slide_is_not_copied_for_every_window(spark, tmp_path):
+    """The state of the sliding windows holds groups of windows, not each of them, and forgets what is over."""
+    batches = [[(m, "p", "c", 1, m % 2) for m in range(b * 400, b * 400 + 400, 7)] for b in range(3)]
+    found, states = [], []
+
+    def start(lines, tables, checkpoint):
+        windows = S.sliding_counts(L.parse_ad_log(lines), "60 minutes", "10 seconds")
+        query = S.start_update(windows, lambda _, batch: found.extend(rows(batch)), checkpoint, "append", trigger=ONCE)
+        query.awaitTermination()
+        states.append(max(sum(op.numRowsTotal for op in p.stateOperators) for p in query.recentProgress))
+        return query
+
+    replay(spark, tmp_path, batches, start)
+    everything = clicks(spark, [e for b in batches for e in b])
+    last = max(r[0] for r in rows(everything.select("ts"))) - timedelta(hours=2)
+    wanted = [r for r in rows(A.sliding_clicks_seconds(everything, 3600, 10)) if r[0] <= last]
+    assert sorted(found) == wanted and len(wanted) > 5000
+    assert max(states) < 100
+
+
 def test_a_failed_query_goes_on_from_its_checkpoint(spark, tmp_path):
     events = some_batches(seed=7, batches=2)
     failures = ["province_clicks", "trend", "trend"]
