@@ -15,6 +15,8 @@ other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.words import LOWER, texts_of
+from footfall.llm.words import LOWER
 from footfall.settings import materialize
 
 CAPACITY = 4096
@@ -37,14 +40,14 @@ PARTITION_PIECES = 40_000
 EXCHANGES = 4
 
 # Bytes of text that are encoded at a time, and words remembered per Python worker.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 REMEMBERED = 400_000
 
 # Words of Latin letters in lower case are one unit to the tokenizer.
 _WORD = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
-# A chunk that it parts into a word and the ASCII marks behind it. An apostrophe may
-# begin a contraction, and < a special token.
-_CHUNK = re.compile(rb"(" + _WORD + rb")([!-&(-/:;=-@\[-`{-~]*)")
+# Lines: a chunk that it parts into a word and the ASCII marks behind it, or any other.
+# An apostrophe may begin a contraction, and < a special token.
+_CHUNKS = re.compile(rb"(?:(" + _WORD + rb"+)([!-&(-/:;=-@\[-`{-~]*+)|[^\n]*+)\n")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES_ARROW = pa.schema(
@@ -98,56 +101,77 @@ class _Encoder:
         raw, ends = ids.tobytes(), (ends * 4).tolist()
         self.memory.update((w, raw[s:e]) for w, s, e in zip(words, [0, *ends], ends, strict=False))
 
-    def many(self, texts: list[bytes]) -> list[bytes]:
+    def know(self, chunks: list[bytes]) -> None:
+        """Remembers all of the chunks."""
         memory = self.memory
         if len(memory) >= REMEMBERED:
             memory.clear()
-        chunked = [text.split() for text in texts]
-        parts, words = {}, set()
-        for chunk in set().union(*chunked).difference(memory):
-            found = _CHUNK.fullmatch(chunk.translate(LOWER))
-            parts[chunk] = found
-            if found and found[1] not in memory:
-                words.add(found[1])
-        self.learn(sorted(words))
-        for chunk, found in parts.items():
-            if not found:
+        memory[b""] = b""
+        new = [chunk for chunk in chunks if chunk not in memory]
+        parts = _CHUNKS.findall(b"".join(chunk + b"\n" for chunk in new).translate(LOWER))
+        self.learn(list({word for word, _ in parts if word and word not in memory}))
+        for chunk, (word, marks) in zip(new, parts, strict=True):
+            if not word:
                 memory[chunk] = self.one(chunk)
-            elif found[2]:
-                word, marks = found.groups()
+            elif marks:
                 if marks not in memory:
                     memory[marks] = self.one(marks)
                 memory[chunk] = memory[word] + memory[marks]
             else:
-                memory[chunk] = memory[found[1]]
-        return [b"".join(map(memory.__getitem__, chunks)) for chunks in chunked]
+                memory[chunk] = memory[word]
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin, with the end of the last."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.binary()), b"").view(pa.string()))
+        coded = split.values.dictionary_encode()
+        chunks = coded.dictionary.view(pa.binary()).to_pylist()
+        self.know(chunks)
+        known = [self.memory[chunk] for chunk in chunks]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        # Every chunk's ids are taken from those of its word, which lie one behind the other.
+        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
+        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(shift, lengths) + np.arange(ends[-1])]
+        return ids, ends[split.offsets.to_numpy()]
+
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        ids, bounds = self.ids_of(pa.array(texts, pa.binary()))
+        return [ids[s:e].tobytes() for s, e in itertools.pairwise(bounds.tolist())]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """A Python worker's encoder; loading the tokenizer takes a good part of a small task."""
+    return _Encoder(path)
 
 
-def _groups(batch: pa.RecordBatch, most: int) -> Iterator[list[tuple]]:
+def _groups(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text as bytes) in runs of about ``most`` bytes."""
-    group, size = [], 0
-    for row in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
-        group.append(row)
-        size += len(row[1])
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(total, total[start] - sizes[start] + most)) + 1
+        yield batch.slice(start, end - start)
+        start = min(end, batch.num_rows)
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Token pieces of every document: ids of the tokenizer, then the end mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path or tokenizer_path())
+        encoder = _encoder(path or tokenizer_path())
         end = np.array([END_ID], "<u4").tobytes()
         step = capacity * 4
         for batch in batches:
             for group in _groups(batch, GROUP_BYTES):
                 rows: list[tuple] = []
-                for (doc_id, _), ids in zip(group, encoder.many([text for _, text in group]), strict=True):
-                    ids += end
+                encoded, bounds = encoder.ids_of(group.column(1))
+                places = zip(group.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+                for doc_id, first, last in places:
+                    ids = encoded[first:last].tobytes() + end
                     for k, at in enumerate(range(0, len(ids), step)):
                         part = ids[at : at + step]
                         rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -155,6 +179,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES_ARROW, strict=True)],
                     schema=_PIECES_ARROW,
                 )
+        # Of a task that is over only the tokenizer stays.
+        encoder.memory.clear()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, PIECES)
 

@@ -282,3 +282,18 @@ def test_differencing_balances_better_than_dealing():
     sums = np.bincount(moved[:, 0], sizes, 4).astype(np.int64)
     assert sorted(sums) == sorted(total)
     assert sums.max() - sums.min() < 1000
+
+
+def test_encoded_texts_lie_in_one_array_and_the_tokenizer_is_loaded_once():
+    import pyarrow as pa
+
+    encoder = packing._encoder(packing.tokenizer_path())
+    assert packing._encoder(packing.tokenizer_path()) is encoder
+    texts = [b"Word, word", None, b"", b"  \x0b a<b 's \xc3\x89t\xc3\xa9 \n", b"it's 12 w", b"word,"]
+    ids, bounds = encoder.ids_of(pa.array(texts, pa.binary()))
+    for k, text in enumerate(texts):
+        plain = encoder.model.encode((text or b"").decode(), add_special_tokens=False).ids
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == plain
+    batch = pa.record_batch([pa.array(range(6)), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+    for most in (1, 10, 1000):
+        assert pa.Table.from_batches(packing._groups(batch, most)).to_pylist() == batch.to_pylist()
