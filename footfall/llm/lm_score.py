@@ -362,34 +362,51 @@ def _scored(blocks: DataFrame, net: Net, known: Vocabulary) -> DataFrame:
         .select("block", F.col("shares.key").alias("found"), F.col("shares.log_n").alias("log_n"))
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    def in_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, buckets = sent.value
         own = _shaped(values)
         for batch in batches:
             for row in range(batch.num_rows):
-                stored = {name: batch.column(k)[row] for k, name in enumerate(batch.schema.names)}
-                lists = ("doc_ids", "tokens", "rare", "keys", "found", "log_n")
-                doc_ids, tokens, rare, keys, found, log_n = (stored[k].values for k in lists)
-                tokens, rare, keys = tokens.to_numpy(), rare.to_numpy(), keys.to_numpy()
-                n = len(tokens)
-                ids = np.frombuffer(stored["ids"].as_py(), "<u2").astype(np.int64)
+                block, doc_ids, tokens, stored = (batch.column(k)[row] for k in range(4))
+                ids = np.frombuffer(stored.as_py(), "<u2").astype(np.int64)
                 places = _places(ids)
                 value = log_probabilities(own, ids, places).astype(np.float64)
                 in_bucket = ids[places] >= FREQUENT
                 value[in_bucket] -= buckets[ids[places][in_bucket]]
-                total = np.bincount(np.repeat(np.arange(n), tokens), value, n)
+                tokens = tokens.values
+                total = np.bincount(np.repeat(np.arange(len(tokens)), tokens.to_numpy()), value, len(tokens))
+                yield pa.record_batch(
+                    [pa.array([block.as_py()], pa.int64()), one(doc_ids.values), one(tokens), one(pa.array(total))],
+                    names=["block", "doc_ids", "tokens", "totals"],
+                )
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                stored = {name: batch.column(k)[row] for k, name in enumerate(batch.schema.names)}
+                lists = ("doc_ids", "tokens", "totals", "rare", "keys", "found", "log_n")
+                doc_ids, tokens, total, rare, keys, found, log_n = (stored[k].values for k in lists)
+                tokens, rare, keys = tokens.to_numpy(), rare.to_numpy(), keys.to_numpy()
+                n = len(tokens)
                 share = np.zeros(len(keys))
                 if found is not None:
                     share[np.searchsorted(keys, found.to_numpy())] = log_n.to_numpy()
                 word, times = (np.frombuffer(stored[k].as_py(), "<i4") for k in ("words", "times"))
-                total += np.bincount(np.repeat(np.arange(n), rare), share[word] * times, n)
+                total = total.to_numpy() + np.bincount(np.repeat(np.arange(n), rare), share[word] * times, n)
                 mean = [float(t) / int(m) if m else None for t, m in zip(total, tokens, strict=True)]
                 yield pa.record_batch(
                     [doc_ids, pa.array(tokens, pa.int64()), pa.array(total), pa.array(mean, pa.float64())],
                     names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
                 )
 
-    columns = ["doc_ids", "tokens", "ids", "rare", "words", "times", "keys", "found", "log_n"]
-    return blocks.join(shares, "block", "left").select(*columns).mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+    # The tokens are scored where they lie; what meets the shares are the documents' sums and words.
+    totals = blocks.select("block", "doc_ids", "tokens", "ids").mapInArrow(
+        in_context, "block long, doc_ids array<long>, tokens array<int>, totals array<double>"
+    )
+    own_words = blocks.select("block", "rare", "words", "times", "keys")
+    columns = ["doc_ids", "tokens", "totals", "rare", "words", "times", "keys", "found", "log_n"]
+    return own_words.join(totals, "block").join(shares, "block", "left").select(*columns).mapInArrow(
+        shared, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
     )
